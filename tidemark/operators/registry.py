@@ -12,19 +12,20 @@ from pyspark.sql import functions as F
 
 from ..config import CHAMPION_ALIAS
 
-_VNUM = F.col("version").cast("int")
+def _vnum():
+    return F.col("version").cast("int")
 
 
 def version_history(versions: DataFrame, name: str, descending: bool = True) -> DataFrame:
     rows = versions.filter(F.col("name") == name)
-    order = F.desc(_VNUM) if descending else F.asc(_VNUM)
+    order = F.desc(_vnum()) if descending else F.asc(_vnum())
     return rows.orderBy(order)
 
 
 def latest_versions(versions: DataFrame) -> DataFrame:
     """Per model: the numerically highest version and its record."""
     packed = F.struct("version", "run_id", "creation_timestamp", "status")
-    return versions.groupBy("name").agg(F.max_by(packed, _VNUM).alias("_v"), F.count(F.lit(1))
+    return versions.groupBy("name").agg(F.max_by(packed, _vnum()).alias("_v"), F.count(F.lit(1))
                                         .alias("n_versions")).select(
         "name", F.col("_v.version").alias("latest_version"), F.col("_v.run_id").alias("run_id"),
         F.col("_v.creation_timestamp").alias("creation_timestamp"), "n_versions")
@@ -65,7 +66,7 @@ def promote(dev_versions: DataFrame, dev_aliases: DataFrame, prod_versions: Data
     """
     champ = resolve_alias(dev_aliases, dev_versions).select(
         name_map(F.col("name")).alias("name"), "run_id")
-    next_v = prod_versions.groupBy("name").agg(F.max(_VNUM).alias("_max"))
+    next_v = prod_versions.groupBy("name").agg(F.max(_vnum()).alias("_max"))
     new_rows = champ.join(next_v, "name", "left").select(
         "name", (F.coalesce(F.col("_max"), F.lit(0)) + 1).cast("string").alias("version"),
         F.lit(at).cast("timestamp_ntz").alias("creation_timestamp"),
