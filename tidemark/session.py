@@ -18,7 +18,7 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "tidemark") -> SparkSession:
+                  app_name: str = "tidemark", driver_memory: str | None = None) -> SparkSession:
     """Session with the settings every job here relies on.
 
     * AQE re-plans joins and coalesces partitions at run time; its skew-join
@@ -38,6 +38,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master.startswith("local"):
+        # In local mode the driver JVM runs every task; give it the memory.
+        builder = builder.config("spark.driver.memory",
+                                 driver_memory or os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
