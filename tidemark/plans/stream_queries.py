@@ -43,7 +43,7 @@ def q_stream_daily_metrics(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query("stream_dedupe", with_views("""
-SELECT model_version, count(*) AS n_rows, count(DISTINCT transaction_id) AS n_keys
+SELECT model_version, count(DISTINCT transaction_id) AS n_rows, count(DISTINCT transaction_id) AS n_keys
 FROM predictions GROUP BY model_version""", "predictions"))
 def q_stream_dedupe(spark: SparkSession, base: str) -> DataFrame:
     """T5s: the same rows landed twice come out once."""
