@@ -82,9 +82,12 @@ def psi_categorical(base: DataFrame, cur: DataFrame, cols: list[str]) -> DataFra
 
 def ks_numeric(base: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     long = _stack_numeric(base, cur, cols).filter(F.col("value").isNotNull())
+    # One row per (column, distinct value).  Materialised: the range shuffle
+    # below samples its input in a separate job, and the input plan (both
+    # windows' feature joins) should run once, not once per consumer.
     per_value = long.groupBy("column_name", "value").agg(
         F.count(F.when(~F.col("is_cur"), 1)).alias("n_base"),
-        F.count(F.when(F.col("is_cur"), 1)).alias("n_cur"))
+        F.count(F.when(F.col("is_cur"), 1)).alias("n_cur")).checkpoint()
     totals = per_value.groupBy("column_name").agg(
         F.sum("n_base").alias("tot_base"), F.sum("n_cur").alias("tot_cur"))
     cum = running_sum_in_groups(per_value, ["column_name"], ["value"],
