@@ -3,10 +3,9 @@
 The fact keeps every row (left joins); unmatched dimension keys give NULL
 attributes and duplicate dimension keys fan rows out, exactly like a SQL left
 join.  :func:`join_quality` reports both so a caller can see it happened.
-No broadcast hint is given on the dimensions: their size is not bounded by
-anything we know, so Spark decides from the measured size
-(``autoBroadcastJoinThreshold`` statically, AQE at run time) and falls back
-to a sort-merge join, where AQE's skew rule splits hot fact keys.
+A dimension is broadcast only after its size has been measured (see
+:mod:`joins`); beyond the limit it is a sort-merge join, where AQE's skew
+rule splits hot fact keys.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import CATEGORICAL_COLS, KEY_COL, LABEL_COL, NUMERIC_COLS
 from ..functions.calendar import calendar_columns
+from .joins import DEFAULT_MAX_BYTES, checked_broadcast
 
 ENRICHED_COLS = [
     "transaction_id", "date_time", "product", "quantity", "unit_price", "payment_method",
@@ -24,9 +24,14 @@ ENRICHED_COLS = [
 ]
 
 
-def enrich(transactions: DataFrame, customers: DataFrame, franchises: DataFrame) -> DataFrame:
+def enrich(transactions: DataFrame, customers: DataFrame, franchises: DataFrame,
+           broadcast_limit: int = DEFAULT_MAX_BYTES) -> DataFrame:
     """Fact left-joined to both dimensions; table-qualified projection + renames."""
-    t, c, f = transactions.alias("t"), customers.alias("c"), franchises.alias("f")
+    cust = customers.select("customer_id", "gender", "state", "continent")
+    fran = franchises.select("franchise_id", "name", "city", "size", "country")
+    t = transactions.alias("t")
+    c = checked_broadcast(cust, broadcast_limit).alias("c")
+    f = checked_broadcast(fran, broadcast_limit).alias("f")
     return (
         t.join(c, F.col("t.customer_id") == F.col("c.customer_id"), "left")
         .join(f, F.col("t.franchise_id") == F.col("f.franchise_id"), "left")
