@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import checked_broadcast
 from ..operators.ordering import number_in_groups
 from .tables import read_table
 
@@ -75,10 +76,13 @@ def segment_mean_predictions(tx: DataFrame) -> DataFrame:
 
     Written as aggregate + join rather than ``avg() OVER (PARTITION BY type)``:
     the aggregate is partial per task, so a type holding a third of all rows
-    never lands in one task; the per-type table is one row per type and AQE
-    turns the join into a broadcast once it has measured that table.
+    never lands in one task.  The per-type table (one row per type) is
+    materialised and measured, then broadcast, so the fact is never
+    shuffled by type (a handful of hot keys); if it were too large it would
+    be a shuffle join handled by AQE's skew rule.
     """
     means = tx.groupBy("product_type").agg(F.avg("quantity").alias("predicted_quantity"))
+    means = checked_broadcast(means.checkpoint())
     return tx.join(means, "product_type", "inner").select(
         "transaction_id",
         F.col("quantity").alias("actual_quantity"),

@@ -15,10 +15,23 @@ def table_path(base_dir: str, name: str) -> str:
     return os.path.join(base_dir, f"{name}.parquet")
 
 
+_schemas: dict = {}
+
+
 def read_table(spark: SparkSession, base_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
-    """Read one table; naming columns lets the scan's ReadSchema shrink early."""
-    df = spark.read.parquet(table_path(base_dir, name))
+    """Read one table; naming columns lets the scan's ReadSchema shrink early.
+
+    The schema found on the first read of a path is reused for later reads
+    in the same session, so they skip footer-based inference.
+    """
+    path = table_path(base_dir, name)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        df = spark.read.parquet(path)
+        _schemas[key] = df.schema
+    else:
+        df = spark.read.schema(_schemas[key]).parquet(path)
     return df.select(*columns) if columns else df
 
 
