@@ -59,3 +59,15 @@ def test_latest_per_key(spark):
                                "k int, t int, v string")
     got = {r.k: r.v for r in latest_per_key(df, ["k"], ["t"], ["v"]).collect()}
     assert got == {1: "c", 2: "z"}
+
+
+def test_bounded_groups_broadcast_summary_same_result(spark):
+    df = _hot_frame(spark, 1500, seed=11)
+    a = number_in_groups(df, ["g"], ["t", "id"], out="rn").select("id", "rn")
+    b = number_in_groups(df, ["g"], ["t", "id"], out="rn", group_bound=50).select("id", "rn")
+    assert sorted(a.collect()) == sorted(b.collect())
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
+    c = running_sum_in_groups(df, ["g"], ["t", "id"], {"v": "cv"}, group_bound=50).select("id", "cv")
+    d = running_sum_in_groups(df, ["g"], ["t", "id"], {"v": "cv"}).select("id", "cv")
+    assert sorted(c.collect()) == sorted(d.collect())

@@ -164,3 +164,26 @@ def test_nan_is_cleaned_before_compare(spark):
     from tidemark.functions.guards import breach_above
     df = spark.createDataFrame([(math.nan,)], "x double")
     assert df.select(breach_above("x", 5.0).alias("b")).first().b is False
+
+
+def test_quoted_table_name_and_drop_table(spark):
+    from tidemark.sources.tables import read_named
+    spark.range(3).createOrReplaceTempView("bakery_payload")
+    assert read_named(spark, "bakery_payload").count() == 3
+    spark.range(2).write.mode("overwrite").saveAsTable("tm_drop_me")
+    sk.drop_table(spark, "tm_drop_me")
+    sk.drop_table(spark, "tm_drop_me")  # IF EXISTS: second drop is a no-op
+    assert not spark.catalog.tableExists("tm_drop_me")
+
+
+def test_environment_selects_schema_and_model_name():
+    from tidemark.config import WatchConfig
+    assert WatchConfig("dev").schema_name == "dev_mlops"
+    assert WatchConfig("prod", "autolog").model_name == "prod_mlops.autolog_model"
+
+
+def test_json_records_round_trip(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, s string")
+    out = sk.json_records(df, keep=["id"])
+    back = out.select("id", F.from_json("record", "id int, s string").alias("r"))
+    assert sorted((r.id, r.r.s) for r in back.collect()) == [(1, "a"), (2, None)]

@@ -22,6 +22,20 @@ def hash_uniform(seed: int, key: str | Column, salt: str = "") -> Column:
     return hi32 / F.lit(_SCALE)
 
 
+def hash_uniforms(seed: int, key: str | Column, salt: str = "") -> list[Column]:
+    """Four independent draws in [0, 1) from one MD5: its four 32-bit slices."""
+    k = F.col(key) if isinstance(key, str) else key
+    digest = F.md5(F.concat(F.lit(f"{seed}|{salt}|"), k.cast("string")))
+    return [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("bigint") / F.lit(_SCALE)
+            for i in range(4)]
+
+
+def sql_hash_uniforms(seed: int, key_sql: str, salt: str = "") -> list[str]:
+    text = f"concat('{seed}|{salt}|', CAST({key_sql} AS VARCHAR))"
+    return [f"(CAST(('0x' || substr(md5({text}), {1 + 8 * i}, 8)) AS BIGINT) / {_SCALE})"
+            for i in range(4)]
+
+
 def uniform_real(seed: int, key: str | Column, low: float, high: float, salt: str) -> Column:
     return F.lit(low) + F.lit(high - low) * hash_uniform(seed, key, salt)
 

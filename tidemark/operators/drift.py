@@ -24,6 +24,20 @@ EPS = 1e-6
 BINS = 10
 
 
+def stack_row_pairs(df: DataFrame, cols: list[str], shifted: dict) -> DataFrame:
+    """Long frame of both windows from ONE pass when the current window is a
+    row-wise transform of the baseline (``shifted`` maps column -> expression;
+    missing columns are unchanged).  Same rows as stacking the two frames."""
+    entries = []
+    for flag, exprs in ((False, {}), (True, shifted)):
+        for c in cols:
+            v = exprs.get(c, F.col(c))
+            entries.append(F.struct(F.lit(c).alias("column_name"), v.cast("double").alias("value"),
+                                    F.lit(flag).alias("is_cur")))
+    return df.select(F.explode(F.array(*entries)).alias("_p")).select(
+        "_p.column_name", "_p.value", "_p.is_cur")
+
+
 def _stack_numeric(base: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     def long(df: DataFrame, flag: bool) -> DataFrame:
         pairs = F.array(*[F.struct(F.lit(c).alias("column_name"),
@@ -58,7 +72,12 @@ def _psi_from_counts(counts: DataFrame, key: str) -> DataFrame:
 
 
 def psi_numeric(base: DataFrame, cur: DataFrame, cols: list[str], bins: int = BINS) -> DataFrame:
-    long = _stack_numeric(base, cur, cols).filter(F.col("value").isNotNull())
+    return psi_numeric_long(_stack_numeric(base, cur, cols), bins)
+
+
+def psi_numeric_long(long: DataFrame, bins: int = BINS) -> DataFrame:
+    """PSI from a long (column_name, value, is_cur) frame."""
+    long = long.filter(F.col("value").isNotNull())
     edges = long.filter(~F.col("is_cur")).groupBy("column_name").agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = F.col("hi") - F.col("lo")
@@ -81,7 +100,12 @@ def psi_categorical(base: DataFrame, cur: DataFrame, cols: list[str]) -> DataFra
 
 
 def ks_numeric(base: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    long = _stack_numeric(base, cur, cols).filter(F.col("value").isNotNull())
+    return ks_numeric_long(_stack_numeric(base, cur, cols), len(cols))
+
+
+def ks_numeric_long(long: DataFrame, n_cols: int | None = None) -> DataFrame:
+    """KS from a long (column_name, value, is_cur) frame."""
+    long = long.filter(F.col("value").isNotNull())
     # One row per (column, distinct value).  Materialised: the range shuffle
     # below samples its input in a separate job, and the input plan (both
     # windows' feature joins) should run once, not once per consumer.
@@ -91,14 +115,18 @@ def ks_numeric(base: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     totals = per_value.groupBy("column_name").agg(
         F.sum("n_base").alias("tot_base"), F.sum("n_cur").alias("tot_cur"))
     cum = running_sum_in_groups(per_value, ["column_name"], ["value"],
-                                {"n_base": "cum_base", "n_cur": "cum_cur"})
+                                {"n_base": "cum_base", "n_cur": "cum_cur"}, group_bound=n_cols)
     gap = F.abs(F.col("cum_base") / F.col("tot_base") - F.col("cum_cur") / F.col("tot_cur"))
     return cum.join(F.broadcast(totals), "column_name").groupBy("column_name").agg(
         F.max(gap).alias("ks"))
 
 
 def moments(base: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    long = _stack_numeric(base, cur, cols)
+    return moments_long(_stack_numeric(base, cur, cols))
+
+
+def moments_long(long: DataFrame) -> DataFrame:
+    """Moments from a long (column_name, value, is_cur) frame."""
     v, is_cur = F.col("value"), F.col("is_cur")
     agg = long.groupBy("column_name").agg(
         F.avg(F.when(~is_cur, v)).alias("mean_base"),

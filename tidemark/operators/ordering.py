@@ -25,12 +25,23 @@ _N = "_tm_n"
 _BEFORE = "_tm_before"
 # monotonically_increasing_id puts the partition index above bit 33.
 _POS_BITS = 33
+# Largest caller-declared group count for which the summary is broadcast.
+_MAX_BROADCAST_GROUPS = 100_000
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _summary_side(summary: DataFrame, group_bound: int | None) -> DataFrame:
+    """Broadcast the (partition, group) summary when the caller bounds the
+    number of groups: it then has at most ``group_bound`` + #partitions rows
+    (a proven size), and the large side is joined in place.  Without a bound
+    it stays a shuffle join, balanced because the key includes the partition."""
+    return F.broadcast(summary) if group_bound is not None and group_bound <= _MAX_BROADCAST_GROUPS \
+        else summary
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
     right_cols = [right[c] for c in right.columns if c not in keys]
@@ -49,7 +60,8 @@ def _range_layout(df: DataFrame, group_cols: list[str],
 
 
 def number_in_groups(df: DataFrame, group_cols: list[str],
-                     order_cols: Sequence[str | Column], out: str = "rn") -> DataFrame:
+                     order_cols: Sequence[str | Column], out: str = "rn",
+                     group_bound: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order)`` without a hot task.
 
     Rows are range-partitioned and sorted on (group, order); the position of a
@@ -64,7 +76,8 @@ def number_in_groups(df: DataFrame, group_cols: list[str],
     earlier = (Window.partitionBy(*group_cols).orderBy(_PART)
                .rowsBetween(Window.unboundedPreceding, -1))
     stats = stats.withColumn(_BEFORE, F.coalesce(F.sum(_N).over(earlier), F.lit(0)))
-    joined = _null_safe_join(laid, stats.drop(_N), [_PART, *group_cols])
+    bound = 1 if not group_cols else group_bound
+    joined = _null_safe_join(laid, _summary_side(stats.drop(_N), bound), [_PART, *group_cols])
     return joined.withColumn(
         out, (F.col(_BEFORE) + F.col(_POS) - F.col(_FIRST) + 1).cast("long")
     ).drop(_PART, _POS, _FIRST, _BEFORE)
@@ -72,7 +85,7 @@ def number_in_groups(df: DataFrame, group_cols: list[str],
 
 def running_sum_in_groups(df: DataFrame, group_cols: list[str],
                           order_cols: Sequence[str | Column],
-                          value_cols: dict[str, str]) -> DataFrame:
+                          value_cols: dict[str, str], group_bound: int | None = None) -> DataFrame:
     """Running totals ``sum(v) OVER (PARTITION BY g ORDER BY o ROWS UNBOUNDED PRECEDING)``.
 
     ``value_cols`` maps input column -> output column.  The running sum inside
@@ -92,7 +105,8 @@ def running_sum_in_groups(df: DataFrame, group_cols: list[str],
     totals = totals.select(_PART, *group_cols, *[
         F.coalesce(F.sum(f"_tm_tot_{out}").over(earlier), F.lit(0)).alias(f"_tm_before_{out}")
         for out in value_cols.values()])
-    joined = _null_safe_join(local, totals, [_PART, *group_cols])
+    bound = 1 if not group_cols else group_bound
+    joined = _null_safe_join(local, _summary_side(totals, bound), [_PART, *group_cols])
     return joined.withColumns({
         out: F.col(f"_tm_before_{out}") + F.col(f"_tm_local_{out}") for out in value_cols.values()
     }).drop(_PART, *[f"_tm_before_{o}" for o in value_cols.values()],

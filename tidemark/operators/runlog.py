@@ -123,7 +123,8 @@ def runs_latest(updates: DataFrame, key: str, time_cols: list[str], value_cols:
     return latest_per_key(updates, [key], time_cols, value_cols)
 
 
-def metric_trend(history: DataFrame, window_rows: int = 5) -> DataFrame:
+def metric_trend(history: DataFrame, window_rows: int = 5,
+                 n_metric_names: int | None = None) -> DataFrame:
     """Per metric, runs in start order: previous value, change, trailing mean.
 
     Input: (run_id, metric_name, metric_value, run_start_time), one row per
@@ -132,7 +133,7 @@ def metric_trend(history: DataFrame, window_rows: int = 5) -> DataFrame:
     self-joins instead of a window per metric.
     """
     numbered = number_in_groups(history, ["metric_name"], ["run_start_time", "run_id"],
-                                out="position")
+                                out="position", group_bound=n_metric_names)
     with_prev = lag_in_groups(numbered, ["metric_name"], "position", "metric_value", "prev_value")
     with_ma = trailing_mean_in_groups(with_prev, ["metric_name"], "position", "metric_value",
                                       f"moving_avg_{window_rows}", window_rows)

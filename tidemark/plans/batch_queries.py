@@ -58,7 +58,7 @@ def q_metrics_by_version(spark: SparkSession, base: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 from ..config import CATEGORICAL_COLS, DRIFT_SEED, NUMERIC_COLS, SPLIT_SEED  # noqa: E402
 from ..functions.calendar import calendar_columns  # noqa: E402
-from ..functions.hashing import sql_hash_uniform  # noqa: E402
+from ..functions.hashing import sql_hash_uniform, sql_hash_uniforms  # noqa: E402
 from ..operators import encode as enc  # noqa: E402
 from ..operators import perturb as pert  # noqa: E402
 from ..operators import split as spl  # noqa: E402
@@ -164,21 +164,24 @@ def _encoded_sql() -> str:
                                      extra=[_split_view(), ("vocab", _VOCAB_SQL)]),
        raw=("unit_price",))
 def q_ordinal_encoded(spark: SparkSession, base: str) -> DataFrame:
-    """M2: test rows encoded with the training vocabulary; unseen -> -1."""
-    train, test = spl.train_test(features(spark, base))
-    return enc.apply_vocab(test, enc.fit_vocab(train))
+    """M2: test rows encoded with the training vocabulary; unseen -> -1.
 
+    The split feature frame is materialised once and read by both the
+    vocabulary fit and the encoding (instead of re-running its joins)."""
+    split = spl.assign_split(features(spark, base)).checkpoint()
+    train = split.filter(F.col("split") == "train").drop("split")
+    test = split.filter(F.col("split") == "test").drop("split")
+    return enc.apply_vocab(test, enc.fit_vocab(train))
 
-def _u_sql(salt: str) -> str:
-    return sql_hash_uniform(DRIFT_SEED, "transaction_id", salt)
 
+_U = sql_hash_uniforms(DRIFT_SEED, "transaction_id", "stress")
 
 _PERTURB_SQL = f"""
 SELECT transaction_id, {", ".join(CATEGORICAL_COLS)},
-       unit_price * (CAST({0.1!r} AS DOUBLE) + CAST({5.0 - 0.1!r} AS DOUBLE) * {_u_sql('unit_price')}) AS unit_price,
-       CAST(0 + floor(24 * {_u_sql('hour')}) AS INTEGER) AS hour,
-       CAST(1 + floor(7 * {_u_sql('day_of_week')}) AS INTEGER) AS day_of_week,
-       CAST(1 + floor(12 * {_u_sql('month')}) AS INTEGER) AS month,
+       unit_price * (CAST({0.1!r} AS DOUBLE) + CAST({5.0 - 0.1!r} AS DOUBLE) * {_U[0]}) AS unit_price,
+       CAST(0 + floor(24 * {_U[1]}) AS INTEGER) AS hour,
+       CAST(1 + floor(7 * {_U[2]}) AS INTEGER) AS day_of_week,
+       CAST(1 + floor(12 * {_U[3]}) AS INTEGER) AS month,
        day_of_month, quantity
 FROM features"""
 
@@ -250,13 +253,16 @@ def q_metrics_by_day_version(spark: SparkSession, base: str) -> DataFrame:
 @query("predictions_with_residual", with_views("""
 SELECT transaction_id, scored_at AS prediction_timestamp, actual_quantity,
        round(predicted_quantity, 6) AS predicted_quantity, round(residual, 6) AS residual,
-       model_version, scored_at, row_number() OVER (ORDER BY transaction_id) - 1 AS row_position
+       model_version, scored_at,
+       row_number() OVER (ORDER BY transaction_id, scored_at, actual_quantity, model_version) - 1 AS row_position
 FROM predictions""", "predictions"))
 def q_predictions_with_residual(spark: SparkSession, base: str) -> DataFrame:
     """Prediction rows keyed by the real id, plus the
-    0-based position by key for callers that need a row index."""
+    0-based position by key (ties broken by time, label, version) for
+    callers that need a row index."""
     p = fx.predictions(spark, base)
-    numbered = number_in_groups(p, [], ["transaction_id"], out="_rn")
+    numbered = number_in_groups(
+        p, [], ["transaction_id", "scored_at", "actual_quantity", "model_version"], out="_rn")
     return numbered.select(
         "transaction_id", F.col("scored_at").alias("prediction_timestamp"), "actual_quantity",
         "predicted_quantity", "residual", "model_version", "scored_at",

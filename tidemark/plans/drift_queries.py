@@ -42,9 +42,9 @@ SELECT c.column_name,
 FROM counts c JOIN tot t ON c.column_name = t.column_name GROUP BY c.column_name"""
 
 
-def _base_cur(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    f = features(spark, base)
-    return f, pert.perturb(f)
+def _long_pair(spark: SparkSession, base: str) -> DataFrame:
+    """Baseline and stress window in long form from one pass over the features."""
+    return dr.stack_row_pairs(features(spark, base), NUMERIC_COLS, pert.perturbed_columns())
 
 
 @query("drift_psi", with_views(_PSI_TAIL.format(n_col="n_bins"), "features", extra=[
@@ -58,8 +58,7 @@ def _base_cur(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
 FROM long l JOIN edges e ON l.column_name = e.column_name WHERE value IS NOT NULL GROUP BY 1, 2"""), _TOT]))
 def q_drift_psi(spark: SparkSession, base: str) -> DataFrame:
     """PSI per numeric feature, baseline vs stress copy, 10 fixed bins."""
-    b, c = _base_cur(spark, base)
-    return dr.psi_numeric(b, c, NUMERIC_COLS)
+    return dr.psi_numeric_long(_long_pair(spark, base))
 
 
 @query("drift_ks", with_views("""
@@ -74,8 +73,7 @@ SELECT column_name, round(max(abs(cb / tb - cc / tc)), 6) AS ks FROM (
                               "WHERE value IS NOT NULL GROUP BY 1, 2")]))
 def q_drift_ks(spark: SparkSession, base: str) -> DataFrame:
     """Exact two-sample KS statistic per numeric feature."""
-    b, c = _base_cur(spark, base)
-    return dr.ks_numeric(b, c, NUMERIC_COLS)
+    return dr.ks_numeric_long(_long_pair(spark, base), len(NUMERIC_COLS))
 
 
 @query("drift_moments", with_views("""
@@ -91,8 +89,7 @@ SELECT column_name,
 FROM long GROUP BY column_name""", "features", extra=[("perturbed", _PERTURB_SQL), _NUM_LONG]))
 def q_drift_moments(spark: SparkSession, base: str) -> DataFrame:
     """Mean / std / NULL share per window and their change."""
-    b, c = _base_cur(spark, base)
-    return dr.moments(b, c, NUMERIC_COLS)
+    return dr.moments_long(_long_pair(spark, base))
 
 
 @query("drift_categorical", with_views(_PSI_TAIL.format(n_col="n_categories"), "features", extra=[

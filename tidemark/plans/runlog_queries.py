@@ -221,7 +221,7 @@ def q_metric_trend(spark: SparkSession, base: str) -> DataFrame:
     latest = rl.latest_metrics_long(fx.metrics(spark, base), WATCHED_METRICS)
     hist = latest.join(fx.runs(spark, base).select("run_id", F.col("start_time").alias("run_start_time")),
                        "run_id")
-    return rl.metric_trend(hist).select(
+    return rl.metric_trend(hist, n_metric_names=len(WATCHED_METRICS)).select(
         "metric_name", "run_id", "run_start_time", "metric_value", "position", "prev_value",
         "delta", "moving_avg_5")
 

@@ -160,7 +160,7 @@ def model_versions(spark: SparkSession, base: str) -> DataFrame:
     """Registry rows; the version counter runs per model name (7 names)."""
     ev = _events(spark, base, ["event_id", "user_id", "event_type", "ts"]).filter(
         F.col("event_type") == "signup").withColumn("_model", F.col("user_id") % 7)
-    numbered = number_in_groups(ev, ["_model"], ["ts", "event_id"], out="_v")
+    numbered = number_in_groups(ev, ["_model"], ["ts", "event_id"], out="_v", group_bound=7)
     return numbered.select(
         F.concat(F.lit("model_"), F.col("_model").cast("string")).alias("name"),
         F.col("_v").cast("string").alias("version"),
