@@ -22,14 +22,26 @@ def hash_uniform(seed: int, key: str | Column, salt: str = "") -> Column:
     return hi32 / F.lit(_SCALE)
 
 
-def hash_uniforms(seed: int, key: str | Column, salt: str = "") -> list[Column]:
-    """Four independent draws in [0, 1) from one MD5: its four 32-bit slices."""
+def digest(seed: int, key: str | Column, salt: str = "") -> Column:
+    """md5(seed|salt|key) as hex text; project it once and slice it with
+    :func:`digest_uniforms` (Spark keeps a projected expensive expression
+    instead of inlining it into every consumer)."""
     k = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(F.lit(f"{seed}|{salt}|"), k.cast("string")))
-    return [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("bigint") / F.lit(_SCALE)
+    return F.md5(F.concat(F.lit(f"{seed}|{salt}|"), k.cast("string")))
+
+
+def digest_uniforms(hex_digest: str | Column) -> list[Column]:
+    """Four independent draws in [0, 1): the four 32-bit slices of a digest."""
+    d = F.col(hex_digest) if isinstance(hex_digest, str) else hex_digest
+    return [F.conv(F.substring(d, 1 + 8 * i, 8), 16, 10).cast("bigint") / F.lit(_SCALE)
             for i in range(4)]
 
 
+def hash_uniforms(seed: int, key: str | Column, salt: str = "") -> list[Column]:
+    """Four independent draws in [0, 1) from one MD5: its four 32-bit slices."""
+    return digest_uniforms(digest(seed, key, salt))
+
+
 def sql_hash_uniforms(seed: int, key_sql: str, salt: str = "") -> list[str]:
     text = f"concat('{seed}|{salt}|', CAST({key_sql} AS VARCHAR))"
     return [f"(CAST(('0x' || substr(md5({text}), {1 + 8 * i}, 8)) AS BIGINT) / {_SCALE})"

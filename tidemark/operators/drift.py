@@ -72,14 +72,25 @@ def _psi_from_counts(counts: DataFrame, key: str) -> DataFrame:
 
 
 def psi_numeric(base: DataFrame, cur: DataFrame, cols: list[str], bins: int = BINS) -> DataFrame:
-    return psi_numeric_long(_stack_numeric(base, cur, cols), bins)
+    return psi_numeric_long(_stack_numeric(base, cur, cols), bins, baseline_edges(base, cols))
 
 
-def psi_numeric_long(long: DataFrame, bins: int = BINS) -> DataFrame:
+def baseline_edges(base: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, lo, hi) of the baseline window: one aggregate over the
+    baseline's own columns, then 2 x len(cols) values unpivoted."""
+    agg = base.agg(*[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in cols],
+                   *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in cols])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"lo_{c}").alias("lo"),
+                              F.col(f"hi_{c}").alias("hi")) for c in cols])
+    return agg.select(F.explode(rows).alias("_e")).select("_e.column_name", "_e.lo", "_e.hi")
+
+
+def psi_numeric_long(long: DataFrame, bins: int = BINS, edges: DataFrame | None = None) -> DataFrame:
     """PSI from a long (column_name, value, is_cur) frame."""
     long = long.filter(F.col("value").isNotNull())
-    edges = long.filter(~F.col("is_cur")).groupBy("column_name").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"))
+    if edges is None:
+        edges = long.filter(~F.col("is_cur")).groupBy("column_name").agg(
+            F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = F.col("hi") - F.col("lo")
     raw_bin = F.floor((F.col("value") - F.col("lo")) / width * F.lit(bins))
     binned = long.join(F.broadcast(edges), "column_name").withColumn(

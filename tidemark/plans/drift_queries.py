@@ -44,7 +44,8 @@ FROM counts c JOIN tot t ON c.column_name = t.column_name GROUP BY c.column_name
 
 def _long_pair(spark: SparkSession, base: str) -> DataFrame:
     """Baseline and stress window in long form from one pass over the features."""
-    return dr.stack_row_pairs(features(spark, base), NUMERIC_COLS, pert.perturbed_columns())
+    f = pert.with_stress_digest(features(spark, base))
+    return dr.stack_row_pairs(f, NUMERIC_COLS, pert.perturbed_columns())
 
 
 @query("drift_psi", with_views(_PSI_TAIL.format(n_col="n_bins"), "features", extra=[
@@ -58,7 +59,8 @@ def _long_pair(spark: SparkSession, base: str) -> DataFrame:
 FROM long l JOIN edges e ON l.column_name = e.column_name WHERE value IS NOT NULL GROUP BY 1, 2"""), _TOT]))
 def q_drift_psi(spark: SparkSession, base: str) -> DataFrame:
     """PSI per numeric feature, baseline vs stress copy, 10 fixed bins."""
-    return dr.psi_numeric_long(_long_pair(spark, base))
+    return dr.psi_numeric_long(_long_pair(spark, base),
+                               edges=dr.baseline_edges(features(spark, base), NUMERIC_COLS))
 
 
 @query("drift_ks", with_views("""

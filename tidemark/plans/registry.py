@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import ROUND_DIGITS
 from ..functions.guards import round_doubles
+from ..session import ensure_checkpoint_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,7 @@ def query(name: str, oracle: str | None = None, raw: tuple[str, ...] = ()):
 
     def wrap(fn: Callable[[SparkSession, str], DataFrame]) -> QueryFn:
         def run(spark: SparkSession, base: str) -> DataFrame:
+            ensure_checkpoint_dir(spark)  # lineage cuts and sinks need the shared folder
             return round_doubles(fn(spark, base), ROUND_DIGITS, keep=raw)
 
         run.__name__ = fn.__name__
