@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import gate as gt
 from ..operators import metrics as met
 from ..sources import fixtures as fx
 from ..streaming import jobs
@@ -138,3 +139,35 @@ def q_late_rows(spark: SparkSession, base: str) -> DataFrame:
         F.sum(F.when(closed, F.col("n")).otherwise(0)).cast("long").alias("n_streamed"),
         F.sum(F.when(closed, F.col("n_all") - F.col("n")).otherwise(0)).cast("long").alias("n_late"),
         F.sum(F.when(~closed, F.col("n_all")).otherwise(0)).cast("long").alias("n_open"))
+
+
+@query("stream_gate_6h", with_views(f"""
+SELECT * FROM (
+  SELECT experiment_id, window_start, window_end,
+         CASE WHEN isnan(batch_rmse) THEN NULL ELSE batch_rmse END AS latest_rmse,
+         CASE WHEN isnan(batch_r2) THEN NULL ELSE batch_r2 END AS latest_r2,
+         coalesce(batch_rmse > 5.0, false) AS rmse_breach, coalesce(batch_r2 < 0.5, false) AS r2_breach,
+         coalesce(batch_rmse > 5.0, false) OR coalesce(batch_r2 < 0.5, false) AS retrain_needed,
+         CASE WHEN coalesce(batch_rmse > 5.0, false) THEN 'BREACH' ELSE 'OK' END AS rmse_status,
+         CASE WHEN coalesce(batch_r2 < 0.5, false) THEN 'BREACH' ELSE 'OK' END AS r2_status
+  FROM (SELECT r.experiment_id, time_bucket(INTERVAL 6 HOUR, m.metric_time) AS window_start,
+               time_bucket(INTERVAL 6 HOUR, m.metric_time) + INTERVAL 6 HOUR AS window_end,
+               arg_max(m.metric_value, (m.metric_time, m.run_id)) FILTER (WHERE m.metric_name = 'batch_rmse') AS batch_rmse,
+               arg_max(m.metric_value, (m.metric_time, m.run_id)) FILTER (WHERE m.metric_name = 'batch_r2') AS batch_r2
+        FROM metrics m JOIN runs r ON m.run_id = r.run_id
+        WHERE m.metric_name IN ('batch_rmse', 'batch_r2') GROUP BY 1, 2, 3) w) g
+WHERE window_end <= (SELECT max(metric_time) FROM metrics WHERE metric_name IN ('batch_rmse', 'batch_r2'))
+                    - INTERVAL 6 HOUR""", "metrics", "runs"))
+def q_stream_gate_6h(spark: SparkSession, base: str) -> DataFrame:
+    """T4s: one gate row per experiment and closed 6-hour window, from a
+    metric-point stream joined to the static run table."""
+    paths = jobs.StreamPaths.fresh(spark, "gate6h")
+    pts = fx.metrics(spark, base, with_step=False)
+    jobs.land_files(pts, paths.source)
+    stream = jobs.read_stream(spark, paths.source, pts.schema, "metric_time")
+    jobs.run_available_now(jobs.gate_window_stream(stream, fx.runs(spark, base)),
+                           paths.sink, paths.checkpoint)
+    closed = spark.read.parquet(paths.sink).select(
+        "experiment_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "batch_rmse", "batch_r2")
+    return gt.evaluate(closed, keep=["experiment_id", "window_start", "window_end"])

@@ -107,3 +107,18 @@ def incremental_metric_states(spark: SparkSession, scored: DataFrame, state_path
     q = (scored.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def gate_window_stream(metric_points: DataFrame, runs: DataFrame, period: str = "6 hours",
+                       delay: str = "6 hours") -> DataFrame:
+    """Watcher cadence as data: per experiment and ``period`` window, the
+    newest batch_rmse / batch_r2 point (stream-static join to the run table
+    for the experiment).  Closed windows are emitted once (append mode)."""
+    names = ("batch_rmse", "batch_r2")
+    pts = (metric_points.filter(F.col("metric_name").isin(*names))
+           .join(runs.select("run_id", "experiment_id"), "run_id", "inner")
+           .withWatermark("metric_time", delay))
+    order = F.struct(F.col("metric_time"), F.col("run_id"))
+    return pts.groupBy(F.window("metric_time", period).alias("w"), "experiment_id").agg(
+        *[F.max_by(F.when(F.col("metric_name") == n, F.col("metric_value")),
+                   F.when(F.col("metric_name") == n, order)).alias(n) for n in names])
