@@ -42,8 +42,18 @@ def _summary_side(summary: DataFrame, group_bound: int | None) -> DataFrame:
         else summary
 
 
+def _key_condition(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Equality on ``keys`` that also matches NULL with NULL; plain ``=`` for
+    keys neither side can hold NULL in (a simpler, cheaper hash key)."""
+    lnull = {f.name: f.nullable for f in left.schema.fields}
+    rnull = {f.name: f.nullable for f in right.schema.fields}
+    parts = [left[k] == right[k] if not (lnull[k] or rnull[k]) else left[k].eqNullSafe(right[k])
+             for k in keys]
+    return reduce(lambda a, b: a & b, parts)
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    cond = _key_condition(left, right, keys)
     right_cols = [right[c] for c in right.columns if c not in keys]
     return left.join(right, cond, "inner").select(left["*"], *right_cols)
 
@@ -142,7 +152,7 @@ def trailing_mean_in_groups(numbered: DataFrame, group_cols: list[str], rn_col:
 
 
 def _left_null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    cond = _key_condition(left, right, keys)
     right_cols = [right[c] for c in right.columns if c not in keys]
     return left.join(right, cond, "left").select(left["*"], *right_cols)
 
