@@ -24,6 +24,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     * AQE re-plans joins and coalesces partitions at run time; its skew-join
       rule splits hot keys of a sort-merge join.
     * Session time zone is UTC so TIMESTAMP and TIMESTAMP_NTZ agree.
+    * Streaming state lives in RocksDB (spills to local disk, snapshots to the
+      checkpoint folder) rather than in executor heap.
+    * Checkpoint files of collected RDDs are removed, so the shared
+      checkpoint folder does not grow without bound.
     * No UI server.
     """
     builder = (
@@ -37,6 +41,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master.startswith("local"):
         # In local mode the driver JVM runs every task; give it the memory.

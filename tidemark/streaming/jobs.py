@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from ..functions.metrics import metric_sums, metrics_from_sums
 from ..operators.metrics import METRIC_COLS
@@ -93,16 +94,22 @@ def incremental_metric_states(spark: SparkSession, scored: DataFrame, state_path
     and appends its sum state, tagged with the batch id, to ``state_path``.
 
     A batch id already present is skipped, so a batch replayed after a
-    failure is not counted twice.
+    failure is not counted twice.  The state table is partitioned by batch id,
+    so that check reads one (usually absent) partition, not the history.
     """
 
+    def already_written(batch_id: int) -> bool:
+        try:
+            done = spark.read.parquet(state_path).filter(F.col("batch_id") == batch_id)
+            return done.limit(1).count() > 0
+        except AnalysisException:  # no state written yet
+            return False
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if os.path.exists(state_path):
-            seen = spark.read.parquet(state_path).filter(F.col("batch_id") == batch_id).limit(1)
-            if seen.count() > 0:
-                return
+        if already_written(batch_id):
+            return
         states = batch.groupBy(*keys).agg(*metric_sums()).withColumn("batch_id", F.lit(batch_id))
-        states.write.mode("append").parquet(state_path)
+        states.write.mode("append").partitionBy("batch_id").parquet(state_path)
 
     q = (scored.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
