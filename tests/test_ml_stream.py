@@ -29,3 +29,22 @@ def test_stream_closed_windows_equal_batch(spark):
     batch = QUERIES["metrics_by_day_version"](spark, SMALL)
     joined = stream.join(batch, ["window_start", "model_version"], "left_anti")
     assert stream.count() > 0 and joined.count() == 0
+
+
+def test_signature_mismatch_is_refused(spark):
+    import pytest
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    from tidemark.operators import train as tr
+    from tidemark.session import scratch_path
+
+    df = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="v")]).fit(df)
+    vocab = spark.createDataFrame([("c", "x", 0)], "column_name string, value string, code int")
+    path = tr.save(model, vocab, scratch_path(spark, "sig"), signature=df)
+    tr.check_signature(df, path)  # same columns: fine
+    with pytest.raises(ValueError):
+        tr.check_signature(df.drop("b"), path)
+    loaded, loaded_vocab = tr.load(spark, path)
+    assert loaded_vocab.count() == 1 and loaded.transform(df).count() == 1
