@@ -10,7 +10,7 @@ import sys
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
 
 import __spark_entry__ as E  # noqa: E402
-from check_oracles import duck, rows_multiset  # noqa: E402
+from check_oracles import duck, rows_multiset, type_mismatches  # noqa: E402
 
 ORACLES = E.oracle_sql()
 
@@ -26,6 +26,7 @@ def test_matches_duckdb(spark, con, name):
     rows = [tuple(r) for r in df.collect()]
     res = con.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(res.columns)
+    assert not type_mismatches(df, res)
     assert rows_multiset(df.columns, rows) == rows_multiset(res.columns, res.fetchall())
 
 

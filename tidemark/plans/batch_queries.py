@@ -97,7 +97,7 @@ SELECT '{dim}' AS dimension, count(*) AS n_fact_rows,
        count(CASE WHEN k.copies IS NULL THEN 1 END) AS n_unmatched,
        (SELECT count(*) FROM (SELECT {key}, count(*) AS c FROM {dim} WHERE {where} GROUP BY {key}) d
         WHERE d.c > 1) AS n_duplicate_keys,
-       coalesce(sum(CASE WHEN k.copies > 1 THEN k.copies - 1 END), 0) AS n_extra_rows
+       CAST(coalesce(sum(CASE WHEN k.copies > 1 THEN k.copies - 1 END), 0) AS BIGINT) AS n_extra_rows
 FROM transactions t LEFT JOIN (SELECT {key}, count(*) AS copies FROM {dim} WHERE {where} GROUP BY {key}) k
      ON t.{fact_key} = k.{key}"""
 
@@ -207,8 +207,8 @@ _DIGEST_COLS = ["transaction_id", *CATEGORICAL_COLS, "hour", "day_of_week", "mon
 
 @query("dataset_digest_md5", with_views(f"""
 SELECT count(*) AS n_rows,
-       sum(CAST(('0x' || substr(md5(concat_ws('|', {", ".join(f"CAST({c} AS VARCHAR)" for c in _DIGEST_COLS)},
-                                               CAST(CAST(quantity AS BIGINT) AS VARCHAR))), 1, 8)) AS BIGINT)) AS digest
+       CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', {", ".join(f"CAST({c} AS VARCHAR)" for c in _DIGEST_COLS)},
+                                               CAST(CAST(quantity AS BIGINT) AS VARCHAR))), 1, 8)) AS BIGINT)) AS BIGINT) AS digest
 FROM features""", "features"))
 def q_dataset_digest_md5(spark: SparkSession, base: str) -> DataFrame:
     """A10: order-free content digest (sum of per-row md5 prefixes)."""

@@ -110,7 +110,7 @@ def q_drift_categorical(spark: SparkSession, base: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 @query("payload_parsed", """
 SELECT event_type, count(*) AS n_requests,
-       sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS sum_k,
+       CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS sum_k,
        count(*) FILTER (WHERE json_extract(props, '$.k') IS NULL) AS n_missing_k
 FROM events GROUP BY event_type""")
 def q_payload_parsed(spark: SparkSession, base: str) -> DataFrame:
@@ -123,7 +123,8 @@ def q_payload_parsed(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query("payload_json", """
-SELECT event_id AS request_id, to_json({'request_id': event_id, 'k': CAST(json_extract(props, '$.k') AS INTEGER)}) AS record
+SELECT event_id AS request_id,
+       CAST(to_json({'request_id': event_id, 'k': CAST(json_extract(props, '$.k') AS INTEGER)}) AS VARCHAR) AS record
 FROM events""")
 def q_payload_json(spark: SparkSession, base: str) -> DataFrame:
     """K9: rows -> JSON records (the serving request body)."""

@@ -24,7 +24,7 @@ def _land_predictions(spark: SparkSession, base: str, paths: jobs.StreamPaths, c
 _DAILY_SQL = """
 SELECT date_trunc('day', scored_at) AS window_start,
        date_trunc('day', scored_at) + INTERVAL 1 DAY AS window_end, model_version,
-       count(*) AS n_scored, 0 AS n_null,
+       count(*) AS n_scored, CAST(0 AS BIGINT) AS n_null,
        round(sqrt(avg((actual_quantity - predicted_quantity) ^ 2)), 6) AS rmse,
        round(avg(abs(actual_quantity - predicted_quantity)), 6) AS mae,
        round(1 - sum((actual_quantity - predicted_quantity) ^ 2) / nullif(regr_syy(actual_quantity, actual_quantity), 0), 6) AS r2
@@ -60,7 +60,7 @@ def q_stream_dedupe(spark: SparkSession, base: str) -> DataFrame:
 @query("stream_payload_counts", """
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
-       count(*) AS n_requests, sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS sum_k
+       count(*) AS n_requests, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS sum_k
 FROM events GROUP BY 1, 2
 HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def q_stream_payload_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -76,7 +76,7 @@ def q_stream_payload_counts(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query("stream_incremental", with_views("""
-SELECT model_version, count(*) AS n_scored, 0 AS n_null,
+SELECT model_version, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_null,
        round(sqrt(avg((actual_quantity - predicted_quantity) ^ 2)), 6) AS rmse,
        round(avg(abs(actual_quantity - predicted_quantity)), 6) AS mae,
        round(1 - sum((actual_quantity - predicted_quantity) ^ 2) / nullif(regr_syy(actual_quantity, actual_quantity), 0), 6) AS r2
