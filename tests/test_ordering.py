@@ -71,3 +71,28 @@ def test_bounded_groups_broadcast_summary_same_result(spark):
     c = running_sum_in_groups(df, ["g"], ["t", "id"], {"v": "cv"}, group_bound=50).select("id", "cv")
     d = running_sum_in_groups(df, ["g"], ["t", "id"], {"v": "cv"}).select("id", "cv")
     assert sorted(c.collect()) == sorted(d.collect())
+
+
+def test_hot_group_is_spread_over_partitions(spark):
+    from tidemark.operators.ordering import _range_layout
+    df = _hot_frame(spark, 6000, seed=3)
+    # tiny data: keep AQE from merging the range partitions back into one
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        laid = _range_layout(df, ["g"], ["t", "id"])
+        per_part = laid.filter(F.col("g") == "hot").groupBy("_tm_part").count().collect()
+    finally:
+        spark.conf.set(key, old)
+    hot_rows = sum(r["count"] for r in per_part)
+    assert hot_rows > 6000 * 0.3
+    assert len(per_part) >= 2
+    assert max(r["count"] for r in per_part) < hot_rows
+
+
+def test_latest_per_key_aggregates_partially(spark):
+    df = _hot_frame(spark, 500)
+    plan = latest_per_key(df, ["g"], ["t", "id"], ["v"])._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "partial_max_by" in plan and "Window" not in plan
