@@ -28,6 +28,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
       checkpoint folder) rather than in executor heap.
     * Checkpoint files of collected RDDs are removed, so the shared
       checkpoint folder does not grow without bound.
+    * Partition sizing that holds at any scale: scans split files into
+      ~256 MB input partitions; AQE coalesces or splits shuffle partitions
+      toward ~128 MB each, and any partition 5x the median and over
+      256 MB counts as skewed and is split in joins.  ``shuffle_partitions``
+      is only the starting count before AQE adjusts it.
     * No UI server.
     """
     builder = (
@@ -44,6 +49,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.sql.files.maxPartitionBytes", str(256 * 1024 * 1024))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "5")
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(256 * 1024 * 1024))
     )
     if master.startswith("local"):
         # In local mode the driver JVM runs every task; give it the memory.
