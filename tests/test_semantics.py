@@ -168,8 +168,8 @@ def test_nan_is_cleaned_before_compare(spark):
 
 def test_quoted_table_name_and_drop_table(spark):
     from tidemark.sources.tables import read_named
-    spark.range(3).createOrReplaceTempView("bakery_payload")
-    assert read_named(spark, "bakery_payload").count() == 3
+    spark.range(3).createOrReplaceTempView("shop_payload")
+    assert read_named(spark, "shop_payload").count() == 3
     spark.range(2).write.mode("overwrite").saveAsTable("tm_drop_me")
     sk.drop_table(spark, "tm_drop_me")
     sk.drop_table(spark, "tm_drop_me")  # IF EXISTS: second drop is a no-op
