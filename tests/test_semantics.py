@@ -187,3 +187,11 @@ def test_json_records_round_trip(spark):
     out = sk.json_records(df, keep=["id"])
     back = out.select("id", F.from_json("record", "id int, s string").alias("r"))
     assert sorted((r.id, r.r.s) for r in back.collect()) == [(1, "a"), (2, None)]
+
+
+def test_exclude_tags_keeps_untagged_and_missing(spark):
+    s = spark.createDataFrame([("a", "true"), ("b", "false"), ("c", None)],
+                              "run_id string, drift_simulation string")
+    kept = sorted(r.run_id for r in rl.without_tags(s, {"drift_simulation": "true"}).collect())
+    assert kept == ["b", "c"]
+    assert rl.without_tags(s, {}).count() == 3

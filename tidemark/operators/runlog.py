@@ -109,6 +109,16 @@ def search_runs(summary: DataFrame, predicate, n: int = 10) -> DataFrame:
     return summary.filter(predicate).orderBy(F.desc("start_time"), F.asc("run_id")).limit(n)
 
 
+def without_tags(summary: DataFrame, exclude: dict[str, str]) -> DataFrame:
+    """Drop runs whose tag column equals the given value (e.g. stress runs:
+    ``{"drift_simulation": "true"}``).  Default watcher behaviour keeps every
+    run; this is the opt-in filter."""
+    out = summary
+    for key, value in (exclude or {}).items():
+        out = out.filter(~F.coalesce(F.col(key) == F.lit(value), F.lit(False)))
+    return out
+
+
 def newest_run(summary: DataFrame, cols: list[str], by: list[str] | None = None) -> DataFrame:
     """Newest run's fields, one row per ``by`` group; with no group a single
     row that is all NULL when nothing qualifies (global aggregate)."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import WATCHED_METRICS
+from ..config import WATCHED_METRICS, WatchConfig
 from ..operators import gate as gt
 from ..operators import registry as reg
 from ..operators import runlog as rl
@@ -110,6 +110,9 @@ def q_latest_batch_run(spark: SparkSession, base: str) -> DataFrame:
     return _newest(spark, base)
 
 
+_NEWEST_CLEAN_SQL = _NEWEST_SQL.replace("WHERE batch_rmse > 0", "WHERE batch_rmse > 0 AND drift_simulation <> 'true'")
+
+
 def _gate_sql(src: str, keys: str) -> str:
     rmse = "CASE WHEN isnan(batch_rmse) THEN NULL ELSE batch_rmse END"
     r2 = "CASE WHEN isnan(batch_r2) THEN NULL ELSE batch_r2 END"
@@ -370,3 +373,14 @@ def q_promote(spark: SparkSession, base: str) -> DataFrame:
                                     F.lit(PROMOTED_AT).cast("timestamp_ntz"))
     return versions.join(aliases.select("name", "version", "alias"), ["name", "version"], "left") \
         .select("name", "version", "run_id", "creation_timestamp", "status", "alias")
+
+
+@query("gate_excluding_stress", with_views(_gate_sql("newest", "experiment_id, run_id"), "runs", "metrics",
+                                           "run_tags", extra=[("summary", _SUMMARY_SQL),
+                                                              ("newest", _NEWEST_CLEAN_SQL)]))
+def q_gate_excluding_stress(spark: SparkSession, base: str) -> DataFrame:
+    """T11 flag: the gate on the newest run that is not tagged as a stress run."""
+    cfg = WatchConfig(exclude_tags={"drift_simulation": "true"})
+    s = rl.without_tags(_summary(spark, base).filter(F.col("batch_rmse") > 0), cfg.exclude_tags)
+    newest = rl.newest_run(s, ["run_id", "batch_rmse", "batch_r2", "start_time"], ["experiment_id"])
+    return gt.evaluate(newest, keep=["experiment_id", "run_id"])
