@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ordering import running_sum_in_groups
 
 EPS = 1e-6
@@ -122,7 +123,8 @@ def ks_numeric_long(long: DataFrame, n_cols: int | None = None) -> DataFrame:
     # windows' feature joins) should run once, not once per consumer.
     per_value = long.groupBy("column_name", "value").agg(
         F.count(F.when(~F.col("is_cur"), 1)).alias("n_base"),
-        F.count(F.when(F.col("is_cur"), 1)).alias("n_cur")).checkpoint()
+        F.count(F.when(F.col("is_cur"), 1)).alias("n_cur"))
+    per_value = materialize(per_value, "ks-values")
     totals = per_value.groupBy("column_name").agg(
         F.sum("n_base").alias("tot_base"), F.sum("n_cur").alias("tot_cur"))
     cum = running_sum_in_groups(per_value, ["column_name"], ["value"],

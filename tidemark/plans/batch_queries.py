@@ -63,6 +63,7 @@ from ..operators import encode as enc  # noqa: E402
 from ..operators import perturb as pert  # noqa: E402
 from ..operators import split as spl  # noqa: E402
 from ..operators.ordering import number_in_groups  # noqa: E402
+from ..session import materialize  # noqa: E402
 from ..sources.tables import read_table  # noqa: E402
 
 _SPLIT_SQL = (f"CASE WHEN {sql_hash_uniform(SPLIT_SEED, 'transaction_id', 'split')} < 0.2 "
@@ -168,7 +169,7 @@ def q_ordinal_encoded(spark: SparkSession, base: str) -> DataFrame:
 
     The split feature frame is materialised once and read by both the
     vocabulary fit and the encoding (instead of re-running its joins)."""
-    split = spl.assign_split(features(spark, base)).checkpoint()
+    split = materialize(spl.assign_split(features(spark, base)), "split")
     train = split.filter(F.col("split") == "train").drop("split")
     test = split.filter(F.col("split") == "test").drop("split")
     return enc.apply_vocab(test, enc.fit_vocab(train))

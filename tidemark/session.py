@@ -82,3 +82,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "tidemark", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str = "table"):
+    """Cut lineage by writing ``df`` as Parquet into the shared checkpoint
+    folder and reading it back.
+
+    Unlike ``DataFrame.checkpoint()``, which evaluates its plan twice (once
+    for the eager count, once more to write) and stores serialized rows,
+    this evaluates the plan once and stores a columnar table that later
+    readers prune and filter.  The folder is shared storage, so a lost
+    executor costs nothing already written.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{name}")
+    df.write.mode("overwrite").parquet(path)
+    # the schema is known: skip footer-based inference on the way back
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import checked_broadcast
+from ..session import materialize
 from ..operators.ordering import number_in_groups
 from .tables import read_table
 
@@ -82,7 +83,7 @@ def segment_mean_predictions(tx: DataFrame) -> DataFrame:
     be a shuffle join handled by AQE's skew rule.
     """
     means = tx.groupBy("product_type").agg(F.avg("quantity").alias("predicted_quantity"))
-    means = checked_broadcast(means.checkpoint())
+    means = checked_broadcast(materialize(means, "type-means"))
     return tx.join(means, "product_type", "inner").select(
         "transaction_id",
         F.col("quantity").alias("actual_quantity"),
