@@ -78,10 +78,13 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     if len(hashes) == 0:
         return np.empty(0, dtype=np.uint64)
     n = min(n, len(hashes))
-    out = np.full(len(hashes) - n + 1, np.uint64(n))
-    for i in range(n):
-        out = mix(out ^ mix(hashes[i:len(hashes) - n + 1 + i], 2 * i + 1), 77)
-    return out
+    last = len(hashes) - n + 1
+    out = np.full(last, np.uint64(n))
+    with np.errstate(over="ignore"):
+        for i in range(n):
+            out *= np.uint64(0x9FB21C651E98DF25)
+            out += hashes[i:last + i]
+    return mix(out, 77)
 
 
 def add_columns(df: DataFrame, keep: list[str], start: Callable[[], Callable[[list[str]], dict]], added: str) -> DataFrame:

@@ -19,6 +19,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -35,14 +36,15 @@ BLOCK = 16
 #: Passages that are ruled out together, if their words as one query reach no item.
 STRETCH = 8
 PART_BYTES = 2_000_000
-WORD = re.compile(r"[^\W_]+")
+#: Bytes between words: ASCII that is neither a letter nor a digit.
+BETWEEN = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def words(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+def words(text: str) -> list[bytes]:
+    return text.lower().encode("utf-8", "surrogatepass").translate(BETWEEN).split()
 
 
-def question_answer(text: str) -> tuple[list[str], list[str]]:
+def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     """An item's words up to its last sentence, and those of the last sentence; a single sentence is cut in half."""
     parts = [w for w in map(words, re.split(r"(?<=[.!?:])\s+|\n", text)) if w]
     if not parts:
@@ -53,7 +55,7 @@ def question_answer(text: str) -> tuple[list[str], list[str]]:
     return [w for p in parts[:-1] for w in p], parts[-1]
 
 
-def grams(ws: list[str], n: int = 3) -> set[tuple[str, ...]]:
+def grams(ws: list[bytes], n: int = 3) -> set[tuple[bytes, ...]]:
     n = min(n, len(ws))
     return {tuple(ws[i:i + n]) for i in range(len(ws) - n + 1)} if n else set()
 
@@ -75,7 +77,7 @@ class Index:
         for k, (_, ws, _) in enumerate(self.items):
             for t, tf in Counter(ws).items():
                 found[t].append((k, tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[k] / mean))))
-        self.terms: dict[str, int] = {}
+        self.terms: dict[bytes, int] = {}
         self.postings: list[list[tuple[int, float]]] = []
         self.blocks: list[list[tuple[int, float]]] = []  # (last item, largest impact) of each block
         self.self_score = [0.0] * n
@@ -165,8 +167,7 @@ class Index:
         n = len(ws)
         if not n or not self.postings:
             return []
-        get = self.terms.get
-        ids = np.fromiter([get(w, -1) for w in ws], dtype=np.int64, count=n)
+        ids = np.fromiter(map(self.terms.get, ws, repeat(-1)), dtype=np.int64, count=n)
         half, best = self.half, {}
         starts = range(0, max(1, n - half), half)
         for s in (s for lo in starts[::STRETCH] if self.reachable(known(ids[lo:lo + (STRETCH + 1) * half])) for s in starts[lo // half:lo // half + STRETCH]):

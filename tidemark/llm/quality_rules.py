@@ -20,18 +20,14 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import WordHashes, add_columns, keep_rows, labelled_sample, windows, words_of
+from .common import add_columns, keep_rows, labelled_sample, windows
 
 TRAIN_DOCUMENTS = 3000
 TRAIN_LINES = 200
 MIN_CONTENT = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-SYMBOLS = "#*$%&|<>"
-_SYMBOL = re.compile("[#*$%&|<>]")
-_SPACE = re.compile("[\x20\x09-\x0d]+")
-_UPPER = re.compile("[A-Z]")
-_LOUD = re.compile("[!?]{2,}")
+SYMBOLS, UPPER, DIGITS, SPACE = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\n\x0b\x0c\r"
 FEATURES = ("bias", "words", "symbols", "bars", "upper", "loud", "digits", "repeats", "seen_before")
 #: Score of content minus boilerplate for each feature, before training.
 PRIOR = np.array([2.0, 0.2, -12.0, -12.0, -4.0, -12.0, -3.0, -4.0, -3.0])
@@ -39,19 +35,22 @@ PRIOR = np.array([2.0, 0.2, -12.0, -12.0, -4.0, -12.0, -3.0, -4.0, -3.0])
 PRIOR_STAY = 0.5
 
 
+def count_of(raw: bytes, these: bytes) -> int:
+    """How many bytes of ``raw`` are among ``these``."""
+    return len(raw) - len(raw.translate(None, these))
+
+
 def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(features, words) of every line that has a word."""
     rows, sizes, seen = [], [], set()
-    for line in text.split("\n"):
-        words = line.encode("utf-8", "surrogatepass").split()
+    for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
+        words = line.split()
         n = len(words)
         if not n:
             continue
-        chars = max(1, len(line))
-        rows.append((1.0, min(n, 40) / 40, len(_SYMBOL.findall(line)) / n, line.count("|") / n,
-                     len(_UPPER.findall(line)) / chars, len(_LOUD.findall(line)) / n,
-                     sum(map(line.count, "0123456789")) / chars, 1 - len(set(words)) / n if n > 8 else 0.0,
-                     float(line in seen)))
+        rows.append((1.0, min(n, 40) / 40, count_of(line, SYMBOLS) / n, line.count(b"|") / n, count_of(line, UPPER) / len(line),
+                     (line.count(b"!!") + line.count(b"??")) / n, count_of(line, DIGITS) / len(line),
+                     1 - len(set(words)) / n if n > 8 else 0.0, 1.0 if line in seen else 0.0))
         sizes.append(n)
         seen.add(line)
     return np.array(rows, dtype=float).reshape(len(rows), len(FEATURES)), np.array(sizes, dtype=float)
@@ -125,30 +124,32 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> tup
     return train([(np.array(r["f"]).reshape(-1, len(FEATURES)), r["y"]) for r in sorted(got, key=lambda r: r["doc_id"])])
 
 
-def counts(text: str, hashes: WordHashes) -> tuple[int, int, int, int, int]:
+def counts(text: str) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a whole text."""
-    words = words_of(text, lower=False)
+    raw = text.encode("utf-8", "surrogatepass")
+    words = raw.split()
     seen, dup = set(), 0
-    for line in text.split("\n"):
+    for line in raw.split(b"\n"):
         if line in seen:
             dup += 1
-        elif line and _SPACE.sub("", line):
+        elif line.strip(SPACE):
             seen.add(line)
     repeats = 0
     if len(words) > 5:
-        _, where, n = np.unique(windows(hashes.of(words), 5), return_inverse=True, return_counts=True)
-        twice = np.flatnonzero(n[where] > 1)
-        if len(twice):
+        found = windows(np.fromiter(map(hash, words), dtype=np.int64, count=len(words)).view(np.uint64), 5)
+        if len(np.unique(found)) < len(found):
+            _, where, n = np.unique(found, return_inverse=True, return_counts=True)
+            twice = np.flatnonzero(n[where] > 1)
             covered = np.zeros(len(words) + 1, dtype=np.int64)
-            np.add.at(covered, twice, 1)
-            np.add.at(covered, twice + 5, -1)
+            covered[twice] += 1  # places are distinct
+            covered[twice + 5] -= 1
             repeats = int((covered.cumsum() > 0).sum())
-    return (len(words), len(text) - sum(map(text.count, "\x20\x09\x0a\x0b\x0c\x0d")), sum(map(text.count, SYMBOLS)), dup, repeats)
+    return len(words), len(text) - count_of(raw, SPACE), count_of(raw, SYMBOLS), dup, repeats
 
 
-def verdict(text: str, hashes: WordHashes, weights: np.ndarray, stay: float) -> dict:
+def verdict(text: str, weights: np.ndarray, stay: float) -> dict:
     """Counts, base verdict, share of words in content lines, and the final verdict of one text."""
-    n, chars, symbols, dup, repeats = counts(text, hashes)
+    n, chars, symbols, dup, repeats = counts(text)
     failed = n < MIN_WORDS or 100 * repeats > MAX_REPEAT_PERCENT * n
     f, sizes = line_features(text)
     share = float(sizes[viterbi(f @ weights, stay)].sum() / sizes.sum()) if len(sizes) else 0.0
@@ -162,10 +163,8 @@ VERDICT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 def judge(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """doc_id with its counts, base_failed, kept and content_share."""
     def start():
-        hashes = WordHashes()
-
         def run(texts: list[str]) -> dict:
-            rows = [verdict(t, hashes, *model) for t in texts]
+            rows = [verdict(t, *model) for t in texts]
             return {k.split()[0]: [r[k.split()[0]] for r in rows] for k in VERDICT.split(", ")}
         return run
 
@@ -175,7 +174,6 @@ def judge(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
 def filter_documents(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep."""
     def start():
-        hashes = WordHashes()
-        return lambda texts: [verdict(t, hashes, *model)["kept"] for t in texts]
+        return lambda texts: [verdict(t, *model)["kept"] for t in texts]
 
     return keep_rows(docs, start)
