@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -96,3 +97,26 @@ def test_latest_per_key_aggregates_partially(spark):
     plan = latest_per_key(df, ["g"], ["t", "id"], ["v"])._jdf.queryExecution() \
         .executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_all_operators_over_many_partitions_with_payload(spark, coalesce):
+    """Rows and summaries agree whatever adaptive execution merges, also when payload columns are used afterwards."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        df = _hot_frame(spark, 4000, 3).withColumn("payload", F.repeat(F.col("g"), 20))
+        w = Window.partitionBy("g").orderBy("t", "id")
+        numbered = number_in_groups(df, ["g"], ["t", "id"], out="rn")
+        got = trailing_mean_in_groups(lag_in_groups(numbered, ["g"], "rn", "v", "prev"), ["g"], "rn", "v", "ma", 3)
+        got = got.select("id", "rn", "prev", F.round("ma", 9).alias("ma"), F.length("payload").alias("n"))
+        want = df.select("id", F.row_number().over(w).alias("rn"), F.lag("v").over(w).alias("prev"),
+                         F.round(F.avg("v").over(w.rowsBetween(-2, 0)), 9).alias("ma"), F.length("payload").alias("n"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        sums = running_sum_in_groups(df, ["g"], ["t", "id"], {"v": "cv"}).select("id", "cv", "payload")
+        exact = df.select("id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cv"), "payload")
+        assert sorted(sums.collect()) == sorted(exact.collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -7,6 +7,12 @@ hot group is cut across many partitions, do the order-dependent step inside
 each partition, and then stitch partitions together with a per
 ``(partition, group)`` summary whose size is bounded by
 ``#groups + #partitions``.  No task ever holds a whole group.
+
+The layout is written once, with partition and position as stored columns.
+Both the rows and the summary read that table: a range shuffle that is
+evaluated twice samples its boundaries twice, and adaptive execution merges
+the two by their own sizes, so positions would not mean the same on both
+sides.
 """
 
 from __future__ import annotations
@@ -17,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 _ID = "_tm_id"
 _PART = "_tm_part"
 _POS = "_tm_pos"
@@ -52,10 +60,12 @@ def _key_condition(left: DataFrame, right: DataFrame, keys: list[str]) -> Column
     return reduce(lambda a, b: a & b, parts)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    cond = _key_condition(left, right, keys)
-    right_cols = [right[c] for c in right.columns if c not in keys]
-    return left.join(right, cond, "inner").select(left["*"], *right_cols)
+def _stitch(laid: DataFrame, summary: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Rows with their summary's ``values``; a row without a summary row is an error, never dropped."""
+    joined = _left_null_safe_join(laid, summary, keys)
+    missing = F.raise_error(F.lit("ordering: a row has no (partition, group) summary"))
+    return joined.withColumns({v: F.when(F.col(v).isNull(), missing.cast(joined.schema[v].dataType)).otherwise(F.col(v))
+                               for v in values})
 
 
 def _range_layout(df: DataFrame, group_cols: list[str],
@@ -63,10 +73,11 @@ def _range_layout(df: DataFrame, group_cols: list[str],
     keys = [*_as_cols(group_cols), *_as_cols(order_cols)]
     laid = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     laid = laid.withColumn(_ID, F.monotonically_increasing_id())
-    return laid.withColumns({
+    laid = laid.withColumns({
         _PART: F.shiftright(F.col(_ID), _POS_BITS),
         _POS: F.col(_ID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
     }).drop(_ID)
+    return materialize(laid, "layout")
 
 
 def number_in_groups(df: DataFrame, group_cols: list[str],
@@ -87,7 +98,7 @@ def number_in_groups(df: DataFrame, group_cols: list[str],
                .rowsBetween(Window.unboundedPreceding, -1))
     stats = stats.withColumn(_BEFORE, F.coalesce(F.sum(_N).over(earlier), F.lit(0)))
     bound = 1 if not group_cols else group_bound
-    joined = _null_safe_join(laid, _summary_side(stats.drop(_N), bound), [_PART, *group_cols])
+    joined = _stitch(laid, _summary_side(stats.drop(_N), bound), [_PART, *group_cols], [_FIRST, _BEFORE])
     return joined.withColumn(
         out, (F.col(_BEFORE) + F.col(_POS) - F.col(_FIRST) + 1).cast("long")
     ).drop(_PART, _POS, _FIRST, _BEFORE)
@@ -112,11 +123,12 @@ def running_sum_in_groups(df: DataFrame, group_cols: list[str],
         *[F.sum(src).alias(f"_tm_tot_{out}") for src, out in value_cols.items()])
     earlier = (Window.partitionBy(*group_cols).orderBy(_PART)
                .rowsBetween(Window.unboundedPreceding, -1))
+    before = [f"_tm_before_{out}" for out in value_cols.values()]
     totals = totals.select(_PART, *group_cols, *[
         F.coalesce(F.sum(f"_tm_tot_{out}").over(earlier), F.lit(0)).alias(f"_tm_before_{out}")
         for out in value_cols.values()])
     bound = 1 if not group_cols else group_bound
-    joined = _null_safe_join(local, _summary_side(totals, bound), [_PART, *group_cols])
+    joined = _stitch(local, _summary_side(totals, bound), [_PART, *group_cols], before)
     return joined.withColumns({
         out: F.col(f"_tm_before_{out}") + F.col(f"_tm_local_{out}") for out in value_cols.values()
     }).drop(_PART, *[f"_tm_before_{o}" for o in value_cols.values()],

@@ -148,14 +148,14 @@ def _prediction_rows(spark: SparkSession, base: str) -> tuple[DataFrame, DataFra
 
 
 def _with_month(df: DataFrame) -> DataFrame:
-    return df.withColumn("scored_month", F.date_format("scored_at", "yyyy-MM"))
+    return df.withColumns({"scored_month": F.date_format("scored_at", "yyyy-MM"), "scored_day": F.to_date("scored_at")})
 
 
 def _write_baseline_and_drift(spark: SparkSession, base: str) -> str:
     baseline, drift = _prediction_rows(spark, base)
     path = scratch_path(spark, "predictions")
     sk.write_table(baseline.sortWithinPartitions("scored_month"), path, "overwrite", ["scored_month"])
-    sk.append_idempotent(spark, drift, path, ["transaction_id", "model_version", "run_kind"],
+    sk.append_idempotent(spark, drift, path, ["transaction_id", "model_version", "run_kind", "scored_day"],
                          ["scored_month"])
     return path
 
@@ -203,7 +203,7 @@ def q_idempotent_append(spark: SparkSession, base: str) -> DataFrame:
     """Appending the same stress rows again writes nothing."""
     path = _write_baseline_and_drift(spark, base)
     _, drift = _prediction_rows(spark, base)
-    sk.append_idempotent(spark, drift, path, ["transaction_id", "model_version", "run_kind"],
+    sk.append_idempotent(spark, drift, path, ["transaction_id", "model_version", "run_kind", "scored_day"],
                          ["scored_month"])
     return _counts(spark.read.parquet(path))
 
