@@ -36,7 +36,7 @@ MAX_ARCS = 5_000
 #: Different preceding words that an arc needs.
 MIN_CONTEXTS = 3
 THRESHOLD = 0.3
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (3, 4, 5, 6, 7)
 
 # Word lists of the grammar.
 INSULTS = "idiot moron loser scum stupid pathetic worthless clown trash disgusting imbecile bastard".split()
@@ -159,15 +159,29 @@ def learn_arcs(sample: DataFrame) -> dict[str, float]:
     sums = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.sum(F.length("text")).alias("n")).collect()}
     if not sums.get(1) or not sums.get(0):
         return {}
-    share = sums[1] / (sums[0] + sums[1])
-    need = math.log(max(1000, 20 * len(rows))) + 1
-    out = {}
-    for r in sorted(rows, key=lambda r: (-r["contexts"], r["arc"])):
-        n, c = r["contexts"], r["n0"]
+    return choose_arcs([(r["arc"], r["contexts"], r["n0"]) for r in rows], sums[1] / (sums[0] + sums[1]))
+
+
+def choose_arcs(found: list[tuple[str, int, int]], share: float) -> dict[str, float]:
+    """Arcs (arc, toxic contexts, clean ones) whose evidence beats chance, with weights.
+
+    Words come first; a word beginning stays only for the contexts that no
+    chosen longer arc explains, so that one word does not bring in all that begin like it.
+    """
+    need = math.log(max(1000, 20 * len(found))) + 1
+    out: dict[str, float] = {}
+    explained: dict[str, int] = {}
+    for arc, n, c in sorted(found, key=lambda x: (x[0][-1] == "*", -len(x[0]) if x[0][-1] == "*" else 0, -x[1], x[0])):
+        n -= explained.get(arc, 0)
+        if n <= 0:
+            continue
         p = n / (n + c)
         gain = n * math.log(p / share) + (c * math.log((1 - p) / (1 - share)) if c else 0)
-        if gain >= need and len(out) < MAX_ARCS:
-            out[r["arc"]] = 1.0 + min(1.0, gain / 100)
+        if p > share and gain >= need and len(out) < MAX_ARCS:
+            out[arc] = 1.0 + min(1.0, gain / 100)
+            for k in PREFIXES:
+                if k < len(arc.rstrip("*")):
+                    explained[arc[:k] + "*"] = explained.get(arc[:k] + "*", 0) + n
     return out
 
 
