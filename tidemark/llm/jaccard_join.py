@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
@@ -40,6 +40,10 @@ from tidemark.session import materialize
 from .common import WordHashes, add_columns, mix, windows, words_of
 
 BLOCK = 256
+#: Rows of two longs that are broadcast at most, about 16 MB.
+BROADCAST_ROWS = 500_000
+#: Index lists over this size make the frequencies of their sets' tokens worth counting.
+LARGE_LIST = 16
 
 
 class Bands:
@@ -96,13 +100,22 @@ def signatures(tokens: np.ndarray, bands: Bands) -> np.ndarray:
 def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(doc_id, n_shingles, sid, keys): set size, set hash (null for the empty set) and index keys."""
     def start():
-        hashes, bands = WordHashes(), Bands(num, den)
+        hashes, bands, seen = WordHashes(), Bands(num, den), set()
+
+        def keys(sid: int | None, tokens: np.ndarray) -> np.ndarray | list:
+            """The set's keys the first time that the task meets it (bounded memory: it may forget)."""
+            if sid is None or sid in seen:
+                return []
+            if len(seen) >= 200_000:
+                seen.clear()
+            seen.add(sid)
+            return signatures(tokens, bands)
 
         def run(texts: list[str]) -> dict:
             got = [token_set(t, n, hashes) for t in texts]
             with np.errstate(over="ignore"):
                 sid = [int(mix(mix(s, 21).sum(keepdims=True) + np.uint64(len(s)), 23).view(np.int64)[0]) if len(s) else None for s in got]
-            return {"n_shingles": [len(s) for s in got], "sid": sid, "keys": [signatures(s, bands) if len(s) else [] for s in got]}
+            return {"n_shingles": [len(s) for s in got], "sid": sid, "keys": [keys(i, s) for i, s in zip(sid, got)]}
         return run
 
     return add_columns(docs, ["doc_id"], start, "n_shingles long, sid long, keys array<long>")
@@ -142,10 +155,18 @@ def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> D
     ``classes`` has (sid, key) for every index key that at least two sets
     share, ``tokens`` has (sid, tokens) for every set in it.
     """
-    once = (tokens.select("sid", F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("sid"))
-            .where("n = 1").groupBy("sid").agg(F.count(F.lit(1)).alias("own")))
+    big = classes.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > LARGE_LIST).select(F.col("key").alias("_k"))
+    counted = materialize(classes.join(big, F.col("key") == F.col("_k")).select(F.col("sid").alias("_c")).distinct(), "join-counted")
+    if counted.isEmpty():
+        own = tokens.select(F.col("sid").alias("_s"), F.lit(0).alias("own")).limit(0)
+    else:  # tokens of all sets that share a list with a counted one: its partners are among them
+        near = classes.join(counted, F.col("sid") == F.col("_c")).select(F.col("key").alias("_k")).distinct()
+        near = classes.join(near, F.col("key") == F.col("_k")).select(F.col("sid").alias("_n")).distinct()
+        own = (tokens.join(near, F.col("sid") == F.col("_n")).select("sid", F.explode("tokens").alias("t"))
+               .groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("sid")).where("n = 1")
+               .groupBy("sid").agg(F.count(F.lit(1)).alias("own")).join(counted, F.col("sid") == F.col("_c")).select(F.col("sid").alias("_s"), "own"))
     alive = materialize(
-        tokens.join(once.withColumnRenamed("sid", "_s"), F.col("sid") == F.col("_s"), "left")
+        tokens.join(own, F.col("sid") == F.col("_s"), "left")
         .select("sid", "tokens", F.size("tokens").alias("n"), F.coalesce("own", F.lit(0)).alias("own"))
         .where(F.lit(den) * (F.col("n") - F.col("own")) >= F.lit(num) * F.col("n")), "join-alive")
     member = materialize(classes.join(alive.select(F.col("sid").alias("_s"), "own", "n"), F.col("sid") == F.col("_s")).select("key", "sid", "own", "n"), "join-members")
@@ -197,6 +218,11 @@ def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> D
     return star.union(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
+def small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` with a broadcast hint if there are at most ``limit`` (counted); else as they are, for a shuffle join."""
+    return F.broadcast(rows) if rows.count() <= limit else rows
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) of every row.
 
@@ -205,11 +231,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     """
     got = materialize(sets(docs, n, num, den), "join-sets")
     classes = materialize(got.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("class_id")), "join-classes")
-    keys = got.where("sid is not null").select("sid", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo != hi").select(F.col("key").alias("_k"))
-    lists = materialize(keys.join(shared, F.col("key") == F.col("_k")).select("key", "sid").distinct(), "join-lists")
-    wanted = lists.select("sid").distinct().join(classes, "sid").select("sid", F.col("class_id").alias("_id"))
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_id")).dropDuplicates(["sid"])
+    # the keys are shuffled once: a sorted run of a key shows whether several sets share it
+    by_key = Window.partitionBy("key").orderBy("sid")
+    lists = materialize(
+        got.select("sid", F.explode("keys").alias("key"))
+        .select("key", "sid", F.lag("sid").over(by_key).alias("before"), F.first("sid").over(by_key).alias("lo"),
+                F.last("sid").over(by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("hi"))
+        .where("lo != hi and (before is null or before != sid)").select("key", "sid"), "join-lists")
+    wanted = materialize(lists.select("sid").distinct().join(classes, "sid").select("sid", F.col("class_id").alias("_id")), "join-wanted")
+    texts = docs.select("doc_id", "text").join(small(wanted), F.col("doc_id") == F.col("_id")).dropDuplicates(["sid"])
 
     def start():
         hashes = WordHashes()
