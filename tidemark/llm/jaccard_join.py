@@ -15,7 +15,8 @@ Equal sets are one class from the start.  Candidates are verified exactly:
 first every member of an index list against the list's hub; then, in lists
 that still hold several components, members outside the hub's component
 against all others, in blocks of ``BLOCK`` by ``BLOCK``, so no list is ever held by one task
-and no pair becomes a row.  A set whose tokens occur in too few other
+and of those pairs only the ones whose parity sketches are close enough for
+linked sets become rows, to be verified by their token sets.  A set whose tokens occur in too few other
 candidate sets to reach the threshold with anything is put aside before.
 
 Result rows: one a document, with the size of its set, its class and its
@@ -40,6 +41,8 @@ from tidemark.session import materialize
 from .common import WordHashes, add_columns, mix, windows, words_of
 
 BLOCK = 256
+#: Bits of the sketch that rules pairs out before their token sets are fetched.
+SKETCH = 2048
 #: Rows of two longs that are broadcast at most, about 16 MB.
 BROADCAST_ROWS = 500_000
 #: Index lists over this size make the frequencies of their sets' tokens worth counting.
@@ -97,6 +100,12 @@ def signatures(tokens: np.ndarray, bands: Bands) -> np.ndarray:
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
+def odd_sketch(tokens: np.ndarray) -> np.ndarray:
+    """``SKETCH`` bits, each the parity of the tokens hashed to it: two sketches differ in no more bits than the sets differ in tokens."""
+    bits = np.bincount((mix(tokens, 31) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(doc_id, n_shingles, sid, keys): set size, set hash (null for the empty set) and index keys."""
     def start():
@@ -144,16 +153,11 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")) if roots is None else roots
 
 
-def _flat(rows: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.array([len(x) for x in rows], dtype=np.int64)
-    return np.concatenate([np.asarray(x, dtype=np.int64) for x in rows]), sizes
-
-
 def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): verified links that connect every component of candidate classes.
 
     ``classes`` has (sid, key) for every index key that at least two sets
-    share, ``tokens`` has (sid, tokens) for every set in it.
+    share, ``tokens`` has (sid, n, sketch, tokens) for every set in it.
     """
     big = classes.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > LARGE_LIST).select(F.col("key").alias("_k"))
     counted = materialize(classes.join(big, F.col("key") == F.col("_k")).select(F.col("sid").alias("_c")).distinct(), "join-counted")
@@ -166,21 +170,20 @@ def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> D
                .groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("sid")).where("n = 1")
                .groupBy("sid").agg(F.count(F.lit(1)).alias("own")).join(counted, F.col("sid") == F.col("_c")).select(F.col("sid").alias("_s"), "own"))
     alive = materialize(
-        tokens.join(own, F.col("sid") == F.col("_s"), "left")
-        .select("sid", "tokens", F.size("tokens").alias("n"), F.coalesce("own", F.lit(0)).alias("own"))
+        tokens.select("sid", "n", "sketch").join(own, F.col("sid") == F.col("_s"), "left").select("sid", "n", "sketch", F.coalesce("own", F.lit(0)).alias("own"))
         .where(F.lit(den) * (F.col("n") - F.col("own")) >= F.lit(num) * F.col("n")), "join-alive")
-    member = materialize(classes.join(alive.select(F.col("sid").alias("_s"), "own", "n"), F.col("sid") == F.col("_s")).select("key", "sid", "own", "n"), "join-members")
+    member = materialize(classes.join(alive.select(F.col("sid").alias("_s"), "own"), F.col("sid") == F.col("_s")).select("key", "sid", "own"), "join-members")
 
     # every member against its list's hub, the set with the least tokens of its own
     hubs = member.groupBy("key").agg(F.min_by("sid", F.struct("own", "sid")).alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
     hubs = materialize(hubs, "join-hubs")
     pairs = (member.join(hubs.select(F.col("key").alias("_k"), "hub"), F.col("key") == F.col("_k")).where("sid != hub")
-             .select("hub", "sid").distinct())
-    left = alive.select(F.col("sid").alias("hub"), F.col("tokens").alias("x"))
-    inter = F.size(F.array_intersect("x", "tokens"))
-    star = materialize(pairs.join(alive.select("sid", "tokens"), "sid").join(left, "hub")
-                       .where(F.lit(den) * inter >= F.lit(num) * (F.size("x") + F.size("tokens") - inter))
-                       .select(F.least("hub", "sid").alias("a"), F.greatest("hub", "sid").alias("b")), "join-star")
+             .select(F.least("hub", "sid").alias("a"), F.greatest("hub", "sid").alias("b")).distinct())
+    other = alive.select(F.col("sid").alias("_s"), F.col("n").alias("_n"), F.col("sketch").alias("_sketch"))
+    apart = F.aggregate(F.zip_with("sketch", "_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda t, x: t + x)
+    near = (pairs.join(alive.select(F.col("sid").alias("_a"), "n", "sketch"), F.col("a") == F.col("_a")).join(other, F.col("b") == F.col("_s"))
+            .where(F.lit(den + num) * apart <= F.lit(den - num) * (F.col("n") + F.col("_n"))).select("a", "b"))
+    star = materialize(verified(near, tokens, num, den), "join-star")
     root = components(star)
 
     # lists with several components: members outside the hub's against all others, in blocks
@@ -193,29 +196,32 @@ def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> D
     left = named.join(mixed, F.col("key") == F.col("_k"))
     rows = left.select("key", "sid", "root", (cell % F.col("rows")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"))
     cols = left.where("out = 1").select("key", "sid", "root", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), (cell % F.col("cols")).cast("int").alias("j"))
-    full = alive.select(F.col("sid").alias("_s"), "tokens")
-    rows = rows.join(full, F.col("sid") == F.col("_s")).select("key", "i", "j", "sid", "root", "tokens")
-    cols = cols.join(full, F.col("sid") == F.col("_s")).select(*[F.col(c).alias(f"c_{c}") for c in ("key", "i", "j", "sid", "root", "tokens")])
-
-    def verify(r: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int]] = []
+    full = alive.select(F.col("sid").alias("_s"), "n", "sketch")
+    fields = ("key", "i", "j", "sid", "root", "n", "sketch")
+    rows = rows.join(full, F.col("sid") == F.col("_s")).select(*fields)
+    cols = cols.join(full, F.col("sid") == F.col("_s")).select(*[F.col(c).alias(f"c_{c}") for c in fields])
+
+    def close(r: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        """Pairs of different components whose sketches are no farther apart than linked sets may be."""
+        found = [np.empty((0, 2), dtype=np.int64)]
         if len(r) and len(c):
-            flat, sizes = _flat(r.tokens)
-            owner = np.repeat(np.arange(len(r)), sizes)
-            order = np.argsort(flat, kind="stable")
-            flat, owner = flat[order], owner[order]
-            ids, roots = r.sid.to_numpy(), r.root.to_numpy()
-            for sid, mine, tokens in zip(c.c_sid, c.c_root, c.c_tokens, strict=True):
-                tokens = np.sort(np.asarray(tokens, dtype=np.int64))
-                at = np.searchsorted(tokens, flat)
-                hit = tokens[np.minimum(at, len(tokens) - 1)] == flat
-                both = np.bincount(owner[hit], minlength=len(r))
-                ok = (den * both >= num * (sizes + len(tokens) - both)) & (roots != mine)
-                out.extend((sid, x) for x in ids[ok])
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    more = rows.groupBy("key", "i", "j").cogroup(cols.groupBy("c_key", "c_i", "c_j")).applyInPandas(verify, "a long, b long")
-    return star.union(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+            mine, ids, roots, sizes = np.stack(r.sketch.to_list()), r.sid.to_numpy(), r.root.to_numpy(), r.n.to_numpy()
+            for sid, at, n, sketch in zip(c.c_sid, c.c_root, c.c_n, c.c_sketch, strict=True):
+                apart = np.bitwise_count(mine ^ sketch).sum(1, dtype=np.int64)
+                ok = ids[((den + num) * apart <= (den - num) * (sizes + n)) & (roots != at)]
+                found.append(np.stack([np.minimum(ok, sid), np.maximum(ok, sid)], 1))
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"]).drop_duplicates()
+
+    more = rows.groupBy("key", "i", "j").cogroup(cols.groupBy("c_key", "c_i", "c_j")).applyInPandas(close, "a long, b long").distinct()
+    return star.union(verified(materialize(more, "join-close"), tokens, num, den))
+
+
+def verified(pairs: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` whose sets are linked, by their whole token sets."""
+    inter = F.size(F.array_intersect("x", "y"))
+    return (pairs.join(tokens.select(F.col("sid").alias("_x"), F.col("tokens").alias("x")), F.col("a") == F.col("_x"))
+            .join(tokens.select(F.col("sid").alias("_y"), F.col("tokens").alias("y")), F.col("b") == F.col("_y"))
+            .where(F.lit(den) * inter >= F.lit(num) * (F.size("x") + F.size("y") - inter)).select("a", "b"))
 
 
 def small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -243,9 +249,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
 
     def start():
         hashes = WordHashes()
-        return lambda texts: {"tokens": [token_set(t, n, hashes).view(np.int64) for t in texts]}
 
-    tokens = materialize(add_columns(texts, ["sid"], start, "tokens array<long>"), "join-tokens")
+        def run(texts: list[str]) -> dict:
+            got = [token_set(t, n, hashes) for t in texts]
+            return {"n": [len(x) for x in got], "sketch": [odd_sketch(x) for x in got], "tokens": [x.view(np.int64) for x in got]}
+        return run
+
+    tokens = materialize(add_columns(texts, ["sid"], start, "n long, sketch array<long>, tokens array<long>"), "join-tokens")
     root = components(link_classes(lists, tokens, num, den))
     named = classes.join(root, F.col("sid") == F.col("node"), "left").select("sid", "class_id", F.coalesce("root", "sid").alias("root"))
     least = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
