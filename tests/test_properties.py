@@ -52,3 +52,15 @@ def test_digests_ignore_row_order_and_partitioning(spark):
     assert xxhash_digest(df).first() == xxhash_digest(shuffled).first()
     assert md5_digest(df, ["k"], ["q"]).first() == md5_digest(shuffled, ["k"], ["q"]).first()
     assert xxhash_digest(df).first().digest != xxhash_digest(df.limit(2999)).first().digest
+
+
+def test_r2_of_a_label_that_varies_little_around_a_large_value(spark):
+    """Batch and merged states keep R2; a constant label has none."""
+    df = spark.range(1000).select((1_000_000 + F.col("id") % 2).cast("double").alias("actual_quantity"),
+                                  F.lit(1_000_000.5).alias("predicted_quantity"), F.lit("1").alias("model_version"),
+                                  (F.col("id") % 3).alias("part"))
+    assert abs(met.batch_metrics(df).first().r2) < 1e-9  # sse 250, syy 250
+    states = met.metric_states(df, ["model_version", "part"])
+    assert abs(met.merge_metric_states(states, ["model_version"]).first().r2) < 1e-9
+    same = df.withColumn("actual_quantity", F.lit(7.1))
+    assert met.batch_metrics(same).first().r2 is None

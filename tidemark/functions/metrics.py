@@ -1,16 +1,17 @@
-"""Regression-quality metrics as mergeable sums.
+"""Regression-quality metrics as mergeable states.
 
-Every metric is derived from five sums over scored rows, so batch, per-slice,
+Every metric is derived from five values over scored rows, so batch, per-slice,
 rollup and streaming results share one definition and partial aggregation
 keeps a single small state per task, however large a slice is:
 
-    n, sum(e^2), sum(|e|), sum(y), sum(y^2)      with e = y - p
+    n, sum(e^2), sum(|e|), sum(y), syy      with e = y - p
 
-RMSE = sqrt(sse / n), MAE = sae / n, R2 = 1 - sse / sst with
-sst = sum(y^2) - sum(y)^2 / n.  R2 is the coefficient of determination, not
-the squared correlation, and is NULL when sst is 0 (constant label).  Rows
-whose label or prediction is NULL are left out of every sum and counted in
-``n_null``.
+RMSE = sqrt(sse / n), MAE = sae / n, R2 = 1 - sse / syy.  syy is the centred
+sum of squares of the label (``regr_syy``), which Spark merges by counts and
+means, so a label that varies little around a large value keeps its digits.
+R2 is the coefficient of determination, not the squared correlation, and is
+NULL when syy is 0 (constant label).  Rows whose label or prediction is NULL
+are left out of every value and counted in ``n_null``.
 """
 
 from __future__ import annotations
@@ -29,41 +30,14 @@ def metric_sums(label: str = "actual_quantity", pred: str = "predicted_quantity"
         F.sum(F.when(ok, e * e)).alias("sse"),
         F.sum(F.when(ok, F.abs(e))).alias("sae"),
         F.sum(F.when(ok, y)).alias("sum_y"),
-        F.sum(F.when(ok, y * y)).alias("sum_y2"),
+        F.regr_syy(F.when(ok, y), F.when(ok, y)).alias("syy"),
     ]
 
 
-def metrics_from_sums(n: str = "n_scored", sse: str = "sse", sae: str = "sae",
-                      sum_y: str = "sum_y", sum_y2: str = "sum_y2") -> dict[str, Column]:
+def metrics_from_sums(n: str = "n_scored", sse: str = "sse", sae: str = "sae", syy: str = "syy") -> dict[str, Column]:
     nn = F.col(n).cast("double")
-    sst = F.col(sum_y2) - F.col(sum_y) * F.col(sum_y) / nn
-    # sst from sums can land a hair off zero for a constant label; treat
-    # anything at rounding-noise level relative to sum(y^2) as zero.
-    sst_safe = F.when(F.abs(sst) <= F.lit(1e-12) * F.abs(F.col(sum_y2)), F.lit(None)).otherwise(sst)
     return {
         "rmse": F.sqrt(F.col(sse) / nn),
         "mae": F.col(sae) / nn,
-        "r2": 1 - F.col(sse) / sst_safe,
+        "r2": 1 - F.col(sse) / F.nullif(F.col(syy), F.lit(0.0)),
     }
-
-
-def exact_metric_aggs(label: str = "actual_quantity", pred: str = "predicted_quantity") -> list[Column]:
-    """One-pass metrics where states need not merge across runs.
-
-    Uses ``regr_syy`` (a numerically stable centred sum of squares) for sst.
-    """
-    y, p = F.col(label), F.col(pred)
-    ok = y.isNotNull() & p.isNotNull()
-    e = y - p
-    yy = F.when(ok, y)
-    sst = F.expr(f"regr_syy(CASE WHEN {label} IS NOT NULL AND {pred} IS NOT NULL "
-                 f"THEN {label} END, CASE WHEN {label} IS NOT NULL AND {pred} IS NOT NULL "
-                 f"THEN {label} END)")
-    return [
-        F.count(F.when(ok, 1)).alias("n_scored"),
-        F.count(F.when(~ok, 1)).alias("n_null"),
-        F.sqrt(F.avg(F.when(ok, e * e))).alias("rmse"),
-        F.avg(F.when(ok, F.abs(e))).alias("mae"),
-        (1 - F.sum(F.when(ok, e * e)) / F.nullif(sst, F.lit(0.0))).alias("r2"),
-        F.avg(yy).alias("mean_actual"),
-    ]

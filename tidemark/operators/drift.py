@@ -104,7 +104,7 @@ def psi_numeric_long(long: DataFrame, bins: int = BINS, edges: DataFrame | None
 
 
 def psi_categorical(base: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    long = _stack_text(base, cur, cols).fillna({"value": "<NULL>"})
+    long = _stack_text(base, cur, cols)  # NULL is a category of its own
     counts = long.groupBy("column_name", "value").agg(
         F.count(F.when(~F.col("is_cur"), 1)).alias("n_base"),
         F.count(F.when(F.col("is_cur"), 1)).alias("n_cur"))

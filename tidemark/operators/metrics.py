@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import metric_sums, metrics_from_sums
 
 METRIC_COLS = ["n_scored", "n_null", "rmse", "mae", "r2"]
-_SUM_COLS = ["sse", "sae", "sum_y", "sum_y2"]
+_SUM_COLS = ["sse", "sae", "sum_y"]
 
 
 def _finish(agg: DataFrame, keys: list[str]) -> DataFrame:
@@ -45,10 +45,18 @@ def metrics_by_window(scored: DataFrame, ts: str = "scored_at", duration: str =
 
 
 def merge_metric_states(states: DataFrame, keys: list[str]) -> DataFrame:
-    """Combine stored sum states (e.g. per streaming batch) into final metrics."""
-    agg = states.groupBy(*keys).agg(
+    """Combine stored states (e.g. one per streaming batch and key) into final metrics.
+
+    Centred sums merge by the parallel variance formula: each state's own syy
+    plus its count times the squared distance of its mean from the joint mean.
+    """
+    whole = Window.partitionBy(*keys)
+    mean = F.sum("sum_y").over(whole) / F.sum("n_scored").over(whole)
+    apart = F.col("n_scored") * F.pow(F.col("sum_y") / F.col("n_scored") - F.col("_mean"), 2)
+    agg = states.withColumn("_mean", mean).groupBy(*keys).agg(
         F.sum("n_scored").alias("n_scored"), F.sum("n_null").alias("n_null"),
-        *[F.sum(c).alias(c) for c in _SUM_COLS])
+        *[F.sum(c).alias(c) for c in _SUM_COLS],
+        F.sum(F.col("syy") + apart).alias("syy"))
     return _finish(agg, keys)
 
 

@@ -7,7 +7,7 @@ wins per (name, alias)).  Everything is vectorised over model names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CHAMPION_ALIAS
@@ -47,10 +47,10 @@ def resolve_alias(aliases: DataFrame, versions: DataFrame, alias: str = CHAMPION
 
 def upsert_aliases(current: DataFrame, updates: DataFrame) -> DataFrame:
     """Union, then the newest ``set_time`` per (name, alias) wins; ties go to
-    the update side."""
+    the update side, then to the higher version."""
     tagged = (current.withColumn("_src", F.lit(0))
               .unionByName(updates.withColumn("_src", F.lit(1))))
-    order = F.struct(F.col("set_time"), F.col("_src"))
+    order = F.struct(F.col("set_time"), F.col("_src"), _vnum().alias("_v"))
     packed = F.struct("version", "set_time")
     return tagged.groupBy("name", "alias").agg(F.max_by(packed, order).alias("_a")).select(
         "name", "alias", F.col("_a.version").alias("version"), F.col("_a.set_time").alias("set_time"))
@@ -59,16 +59,19 @@ def upsert_aliases(current: DataFrame, updates: DataFrame) -> DataFrame:
 def promote(dev_versions: DataFrame, dev_aliases: DataFrame, prod_versions: DataFrame,
             prod_aliases: DataFrame, name_map, at) -> tuple[DataFrame, DataFrame]:
     """Copy each dev champion into the prod registry as the next version and
-    point prod's champion alias at it.
+    point prod's champion alias at it.  Dev champions that share a prod name
+    get consecutive versions, in run id order.
 
     ``name_map`` maps a dev name column to the prod name (a Column function).
     Returns (prod versions after, prod aliases after).
     """
     champ = resolve_alias(dev_aliases, dev_versions).select(
         name_map(F.col("name")).alias("name"), "run_id")
+    # one row per dev model: as small as the registry
+    champ = champ.withColumn("_position", F.row_number().over(Window.partitionBy("name").orderBy("run_id")))
     next_v = prod_versions.groupBy("name").agg(F.max(_vnum()).alias("_max"))
     new_rows = champ.join(next_v, "name", "left").select(
-        "name", (F.coalesce(F.col("_max"), F.lit(0)) + 1).cast("string").alias("version"),
+        "name", (F.coalesce(F.col("_max"), F.lit(0)) + F.col("_position")).cast("string").alias("version"),
         F.lit(at).cast("timestamp_ntz").alias("creation_timestamp"),
         F.lit("READY").alias("status"), "run_id")
     versions_after = prod_versions.select(*new_rows.columns).unionByName(new_rows)

@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "tidemark", driver_memory: str | None = None) -> SparkSession:
     """Session with the settings every job here relies on.
 
@@ -26,13 +26,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     * Session time zone is UTC so TIMESTAMP and TIMESTAMP_NTZ agree.
     * Streaming state lives in RocksDB (spills to local disk, snapshots to the
       checkpoint folder) rather than in executor heap.
-    * Checkpoint files of collected RDDs are removed, so the shared
-      checkpoint folder does not grow without bound.
+    * Intermediate tables are written below ``spark.checkpoint.dir``
+      (:func:`materialize`); :func:`release` removes what this application wrote.
     * Partition sizing that holds at any scale: scans split files into
       ~256 MB input partitions; AQE coalesces or splits shuffle partitions
       toward ~128 MB each, and any partition 5x the median and over
-      256 MB counts as skewed and is split in joins.  ``shuffle_partitions``
-      is only the starting count before AQE adjusts it.
+      256 MB counts as skewed and is split in joins.  AQE merges shuffle
+      partitions but never adds any for aggregates and range sorts, so
+      ``shuffle_partitions`` bounds their parallelism: without a value the
+      cluster's own setting holds, in local mode 16.
     * No UI server.
     """
     builder = (
@@ -40,7 +42,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -54,6 +55,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "5")
         .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(256 * 1024 * 1024))
     )
+    if shuffle_partitions is None and master.startswith("local"):
+        shuffle_partitions = 16
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master.startswith("local"):
         # In local mode the driver JVM runs every task; give it the memory.
         builder = builder.config("spark.driver.memory",
@@ -70,7 +75,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
-        # Only reached in local runs where the cluster names no shared folder.
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"{_CHECKPOINT_KEY} must name a folder that the driver and all executors share")
+        # Only reached in local runs, where one machine holds everything.
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -81,7 +89,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "tidemark", f"{name}-{uuid.uuid4().hex}")
+    app = spark.sparkContext.applicationId
+    return os.path.join(root, "tidemark", app, f"{name}-{uuid.uuid4().hex}")
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every scratch folder of this application, on whatever file system it lies.
+
+    Call it when the job's results are written: frames that read scratch
+    tables fail afterwards.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        os.path.join(ensure_checkpoint_dir(spark), "tidemark", spark.sparkContext.applicationId))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str = "table"):
