@@ -87,7 +87,18 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out, 77)
 
 
-def add_columns(df: DataFrame, keep: list[str], start: Callable[[], Callable[[list[str]], dict]], added: str) -> DataFrame:
+#: Rows of an Arrow batch that are worked on together, which bounds what a task holds in Python.
+ROWS = 512
+
+
+def parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def add_columns(df: DataFrame, keep: list[str], start: Callable[[], Callable[[list[str]], dict]], added: str, rows: int = ROWS) -> DataFrame:
     """``keep`` columns of ``df`` as they are, and columns made from its texts in Arrow batches.
 
     ``start()`` runs once a task and returns a function from a list of texts
@@ -97,7 +108,7 @@ def add_columns(df: DataFrame, keep: list[str], start: Callable[[], Callable[[li
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn, types = start(), to_arrow_schema(schema)
-        for b in batches:
+        for b in parts(batches, rows):
             new = fn([x or "" for x in b.column("_text").to_pylist()])
             cols = [b.column(c) for c in keep] + [pa.array(new[f.name], type=f.type) for f in list(types)[len(keep):]]
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
@@ -109,7 +120,7 @@ def keep_rows(df: DataFrame, start: Callable[[], Callable[[list[str]], list]]) -
     """Whole rows of ``df`` for whose text the function that ``start()`` makes in each task is true."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = start()
-        for b in batches:
+        for b in parts(batches, ROWS):
             yield b.filter(pa.array([bool(x) for x in fn([x or "" for x in b.column("text").to_pylist()])], type=pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

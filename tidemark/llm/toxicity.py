@@ -148,7 +148,7 @@ def learn_arcs(sample: DataFrame) -> dict[str, float]:
             return {"arc": [[a for a, _ in x] for x in got], "before": [[b for _, b in x] for x in got]}
         return run
 
-    seen = (add_columns(sample, ["y"], start, "arc array<string>, before array<string>")
+    seen = (add_columns(sample, ["y"], start, "arc array<string>, before array<string>", rows=16)
             .select("y", F.explode(F.arrays_zip("arc", "before")).alias("p")).select("y", "p.arc", F.xxhash64("p.before").alias("b")))
     toxic = (seen.where("y = 1").groupBy("arc").agg(F.approx_count_distinct("b", 0.02).alias("contexts"), F.count(F.lit(1)).alias("n1"))
              .where(F.col("contexts") >= MIN_CONTEXTS))
