@@ -107,7 +107,7 @@ def odd_sketch(tokens: np.ndarray) -> np.ndarray:
 
 
 def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, sid, keys): set size, set hash (null for the empty set) and index keys."""
+    """(doc_id, text_hash, n_shingles, sid, keys): set size, set hash (null for the empty set) and index keys."""
     def start():
         hashes, bands, seen = WordHashes(), Bands(num, den), set()
 
@@ -127,7 +127,8 @@ def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
             return {"n_shingles": [len(s) for s in got], "sid": sid, "keys": [keys(i, s) for i, s in zip(sid, got)]}
         return run
 
-    return add_columns(docs, ["doc_id"], start, "n_shingles long, sid long, keys array<long>")
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return add_columns(docs, ["doc_id", "text_hash"], start, "n_shingles long, sid long, keys array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -230,7 +231,7 @@ def small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id) of every row.
+    """(doc_id, text_hash, n_shingles, class_id, component_id) of every row.
 
     class_id is the least doc_id with an equal set, component_id the least one
     that links reach; both are the row's own id for the empty set.
@@ -261,11 +262,21 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     least = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
     named = named.join(least, "root").select(F.col("sid").alias("_s"), "class_id", "component_id")
     return (got.join(named, F.col("sid") == F.col("_s"), "left")
-            .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", "text_hash", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs``, all columns, that have the least id of their component; of rows with that id, one."""
-    found = near_duplicates(docs, n, num, den).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rest = docs.where(F.col("doc_id").isNull())
-    return docs.join(found, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"]).unionByName(rest)
+    """The rows of ``docs``, all columns, that have the least id of their component; of equal rows (id and text), one.
+
+    Texts stay where they are: the ids to remove are broadcast while they are
+    few, and only ids that occur twice are compared as whole rows.
+    """
+    found = materialize(near_duplicates(docs, n, num, den).select("doc_id", "text_hash", "component_id"), "join-found")
+    key = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    gone = materialize(found.where("doc_id != component_id").select(*key).distinct(), "join-gone")
+    kept = docs.join(small(gone), same, "left_anti")
+    twice = materialize(found.where("doc_id = component_id").groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "join-twice")
+    if twice.isEmpty():
+        return kept
+    return kept.join(small(twice), same, "left_anti").unionByName(kept.join(small(twice), same, "left_semi").dropDuplicates(["doc_id", "text"]))
