@@ -28,22 +28,15 @@ def _width(field: T.StructField) -> F.Column:
     return F.lit(8)
 
 
-_measured: dict[tuple[str, int], tuple[int, int]] = {}
-
-
 def measure(df: DataFrame) -> tuple[int, int]:
     """(rows, approximate in-memory bytes) of ``df``, computed by Spark.
 
-    Memoised per session by the plan's semantic hash: the size is a planning
-    statistic (a stale value can only change the join strategy, never the
-    result), so repeated queries over the same dimension measure it once.
+    Measured anew each time: a folder that grew since must not be broadcast
+    on the strength of an old figure.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
-    if key not in _measured:
-        width = sum((_width(f) for f in df.schema.fields), F.lit(_ROW_OVERHEAD))
-        r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-        _measured[key] = (int(r["n"] or 0), int(r["b"] or 0))
-    return _measured[key]
+    width = sum((_width(f) for f in df.schema.fields), F.lit(_ROW_OVERHEAD))
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return int(r["n"] or 0), int(r["b"] or 0)
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import WATCHED_METRICS, WatchConfig
+from ..functions.guards import map_get
 from ..operators import gate as gt
 from ..operators import registry as reg
 from ..operators import runlog as rl
@@ -281,6 +282,26 @@ def q_version_history(spark: SparkSession, base: str) -> DataFrame:
         "name", "version", "creation_timestamp", "status", "run_id")
 
 
+@query("version_history_ascending", with_views(f"""
+SELECT name, version, creation_timestamp, status, run_id FROM model_versions
+WHERE name = '{MODEL}'""", "model_versions"))
+def q_version_history_ascending(spark: SparkSession, base: str) -> DataFrame:
+    """Versions of one model, numerically ascending."""
+    return reg.version_history(fx.model_versions(spark, base), MODEL, descending=False).select(
+        "name", "version", "creation_timestamp", "status", "run_id")
+
+
+@query("tag_lookup", with_views("""
+SELECT r.run_id, coalesce(max(CASE WHEN t.key = 'drift_simulation' THEN t.value END), 'false') AS drift_simulation
+FROM runs r LEFT JOIN run_tags t ON t.run_id = r.run_id GROUP BY r.run_id""", "runs", "run_tags"))
+def q_tag_lookup(spark: SparkSession, base: str) -> DataFrame:
+    """Lookup with a default in a real map of each run's tags (few tags a run)."""
+    tags = fx.run_tags(spark, base).groupBy("run_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("tags"))
+    return fx.runs(spark, base).select("run_id").join(tags, "run_id", "left").select(
+        "run_id", map_get("tags", "drift_simulation", "false").alias("drift_simulation"))
+
+
 @query("latest_version", with_views("""
 SELECT name, arg_max(version, CAST(version AS INTEGER)) AS latest_version,
        arg_max(run_id, CAST(version AS INTEGER)) AS run_id,
