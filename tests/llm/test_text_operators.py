@@ -102,6 +102,7 @@ def test_join_equals_brute_force(documents, seed, n, num):
 
 def test_join_in_small_blocks_equals_brute_force(documents, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 2)
+    monkeypatch.setattr(jaccard_join, "LARGE_LIST", 3)
     rows = near_copies(random.Random(5), 4, 25)
     got = jaccard_join.near_duplicates(documents(rows), 2, 80, 100)
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute_components(rows, 2, 80, 100)

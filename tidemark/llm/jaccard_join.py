@@ -45,8 +45,8 @@ BLOCK = 256
 SKETCH = 2048
 #: Rows of two longs that are broadcast at most, about 16 MB.
 BROADCAST_ROWS = 500_000
-#: Index lists over this size make the frequencies of their sets' tokens worth counting.
-LARGE_LIST = 16
+#: Index lists over this size have the tokens of their sets counted, and are compared in blocks.
+LARGE_LIST = 32
 
 
 class Bands:
@@ -180,19 +180,19 @@ def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> D
     hubs = materialize(hubs, "join-hubs")
     pairs = (member.join(hubs.select(F.col("key").alias("_k"), "hub"), F.col("key") == F.col("_k")).where("sid != hub")
              .select(F.least("hub", "sid").alias("a"), F.greatest("hub", "sid").alias("b")).distinct())
-    other = alive.select(F.col("sid").alias("_s"), F.col("n").alias("_n"), F.col("sketch").alias("_sketch"))
-    apart = F.aggregate(F.zip_with("sketch", "_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda t, x: t + x)
-    near = (pairs.join(alive.select(F.col("sid").alias("_a"), "n", "sketch"), F.col("a") == F.col("_a")).join(other, F.col("b") == F.col("_s"))
-            .where(F.lit(den + num) * apart <= F.lit(den - num) * (F.col("n") + F.col("_n"))).select("a", "b"))
-    star = materialize(verified(near, tokens, num, den), "join-star")
+    star = materialize(verified(close_pairs(pairs, alive, num, den), tokens, num, den), "join-star")
     root = components(star)
 
-    # lists with several components: members outside the hub's against all others, in blocks
+    # lists with several components: members outside the hub's against all others, in large lists by blocks
     named = (member.select("key", "sid").join(root, F.col("sid") == F.col("node"), "left").select("key", "sid", F.coalesce("root", "sid").alias("root")))
     hub_root = hubs.join(root, F.col("hub") == F.col("node"), "left").select(F.col("key").alias("_k"), F.coalesce("root", "hub").alias("main"))
     named = materialize(named.join(hub_root, F.col("key") == F.col("_k")).drop("_k").withColumn("out", (F.col("root") != F.col("main")).cast("int")), "join-named")
     mixed = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("out").alias("n_out")).where("n_out > 0")
-    mixed = mixed.select(F.col("key").alias("_k"), F.ceil(F.col("n") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("n_out") / BLOCK).cast("int").alias("cols"))
+    mixed = materialize(mixed, "join-mixed")
+    few = named.join(mixed.where(F.col("n") <= LARGE_LIST).select(F.col("key").alias("_k")), F.col("key") == F.col("_k")).drop("_k")
+    out = few.where("out = 1").select(F.col("key").alias("_k"), F.col("sid").alias("_s"), F.col("root").alias("_root"))
+    cross = few.join(out, (F.col("key") == F.col("_k")) & (F.col("root") != F.col("_root"))).select(F.least("sid", "_s").alias("a"), F.greatest("sid", "_s").alias("b")).distinct()
+    mixed = mixed.where(F.col("n") > LARGE_LIST).select(F.col("key").alias("_k"), F.ceil(F.col("n") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("n_out") / BLOCK).cast("int").alias("cols"))
     cell = F.pmod(F.xxhash64("sid"), F.lit(1 << 30))
     left = named.join(mixed, F.col("key") == F.col("_k"))
     rows = left.select("key", "sid", "root", (cell % F.col("rows")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"))
@@ -213,8 +213,18 @@ def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> D
                 found.append(np.stack([np.minimum(ok, sid), np.maximum(ok, sid)], 1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"]).drop_duplicates()
 
-    more = rows.groupBy("key", "i", "j").cogroup(cols.groupBy("c_key", "c_i", "c_j")).applyInPandas(close, "a long, b long").distinct()
-    return star.union(verified(materialize(more, "join-close"), tokens, num, den))
+    more = rows.groupBy("key", "i", "j").cogroup(cols.groupBy("c_key", "c_i", "c_j")).applyInPandas(close, "a long, b long")
+    more = materialize(more.union(close_pairs(cross, alive, num, den)).distinct(), "join-close")
+    return star.union(verified(more, tokens, num, den))
+
+
+def close_pairs(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sketches are no farther apart than linked sets may be."""
+    one = sketches.select(F.col("sid").alias("_a"), F.col("n").alias("_m"), F.col("sketch").alias("_x"))
+    two = sketches.select(F.col("sid").alias("_b"), F.col("n").alias("_n"), F.col("sketch").alias("_y"))
+    apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda t, x: t + x)
+    return (pairs.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
+            .where(F.lit(den + num) * apart <= F.lit(den - num) * (F.col("_m") + F.col("_n"))).select("a", "b"))
 
 
 def verified(pairs: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
