@@ -24,9 +24,9 @@ component; pairs are not expanded.
 
 Edge cases: null, empty and blank texts have the empty set, linked with
 nothing; a text with fewer words than n has its whole sequence as one token;
-very long texts are used whole; repeated rows are linked; a null id takes part
-and its component is the least id that is not null; an empty table gives an
-empty result; other columns are ignored.
+very long texts are used whole; repeated rows are linked; a row without an id
+belongs to the component of the rows with an equal set and has no other links;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -106,13 +106,38 @@ def odd_sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, sid, keys): set size, set hash (null for the empty set) and index keys."""
+def set_id(tokens: np.ndarray) -> int | None:
+    """64-bit hash of a set; None for the empty set."""
+    if not len(tokens):
+        return None
+    with np.errstate(over="ignore"):
+        return int(mix(mix(tokens, 21).sum(keepdims=True) + np.uint64(len(tokens)), 23).view(np.int64)[0])
+
+
+def sets(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, sid): set size and set hash (null for the empty set)."""
+    def start():
+        hashes = WordHashes()
+
+        def run(texts: list[str]) -> dict:
+            got = [token_set(t, n, hashes) for t in texts]
+            return {"n_shingles": [len(s) for s in got], "sid": [set_id(s) for s in got]}
+        return run
+
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return add_columns(docs, ["doc_id", "text_hash"], start, "n_shingles long, sid long")
+
+
+def index_keys(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(sid, keys): a set's index keys, the first time that a task meets it (in bounded memory: it may forget).
+
+    Made from the texts again rather than stored with ``sets``: the keys are
+    the bulk, and their shuffle then holds the only copy.
+    """
     def start():
         hashes, bands, seen = WordHashes(), Bands(num, den), set()
 
-        def keys(sid: int | None, tokens: np.ndarray) -> np.ndarray | list:
-            """The set's keys the first time that the task meets it (bounded memory: it may forget)."""
+        def keys(tokens: np.ndarray, sid: int | None) -> np.ndarray | list:
             if sid is None or sid in seen:
                 return []
             if len(seen) >= 200_000:
@@ -121,14 +146,11 @@ def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
             return signatures(tokens, bands)
 
         def run(texts: list[str]) -> dict:
-            got = [token_set(t, n, hashes) for t in texts]
-            with np.errstate(over="ignore"):
-                sid = [int(mix(mix(s, 21).sum(keepdims=True) + np.uint64(len(s)), 23).view(np.int64)[0]) if len(s) else None for s in got]
-            return {"n_shingles": [len(s) for s in got], "sid": sid, "keys": [keys(i, s) for i, s in zip(sid, got)]}
+            got = [(s, set_id(s)) for s in (token_set(t, n, hashes) for t in texts)]
+            return {"sid": [i for _, i in got], "keys": [keys(s, i) for s, i in got]}
         return run
 
-    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return add_columns(docs, ["doc_id", "text_hash"], start, "n_shingles long, sid long, keys array<long>")
+    return add_columns(docs, [], start, "sid long, keys array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -246,27 +268,31 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     class_id is the least doc_id with an equal set, component_id the least one
     that links reach; both are the row's own id for the empty set.
     """
-    got = materialize(sets(docs, n, num, den), "join-sets")
+    got = materialize(sets(docs, n), "join-sets")
     classes = materialize(got.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("class_id")), "join-classes")
     # the keys are shuffled once: a sorted run of a key shows whether several sets share it
     by_key = Window.partitionBy("key").orderBy("sid")
     lists = materialize(
-        got.select("sid", F.explode("keys").alias("key"))
+        index_keys(docs, n, num, den).select("sid", F.explode("keys").alias("key"))
         .select("key", "sid", F.lag("sid").over(by_key).alias("before"), F.first("sid").over(by_key).alias("lo"),
                 F.last("sid").over(by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("hi"))
         .where("lo != hi and (before is null or before != sid)").select("key", "sid"), "join-lists")
     wanted = materialize(lists.select("sid").distinct().join(classes, "sid").select("sid", F.col("class_id").alias("_id")), "join-wanted")
-    texts = docs.select("doc_id", "text").join(small(wanted), F.col("doc_id") == F.col("_id")).dropDuplicates(["sid"])
+    texts = docs.select("doc_id", "text").join(small(wanted), F.col("doc_id") == F.col("_id"))
 
     def start():
         hashes = WordHashes()
 
         def run(texts: list[str]) -> dict:
             got = [token_set(t, n, hashes) for t in texts]
-            return {"n": [len(x) for x in got], "sketch": [odd_sketch(x) for x in got], "tokens": [x.view(np.int64) for x in got]}
+            return {"own": [set_id(x) for x in got], "n": [len(x) for x in got], "sketch": [odd_sketch(x) for x in got], "tokens": [x.view(np.int64) for x in got]}
         return run
 
-    tokens = materialize(add_columns(texts, ["sid"], start, "n long, sketch array<long>, tokens array<long>"), "join-tokens")
+    # an id may stand before several texts: the one that made the set counts, and once
+    tokens = add_columns(texts, ["sid"], start, "own long, n long, sketch array<long>, tokens array<long>").where("own = sid").drop("own")
+    tokens = materialize(tokens, "join-tokens")
+    if tokens.count() > wanted.count():
+        tokens = materialize(tokens.dropDuplicates(["sid"]), "join-tokens")
     root = components(link_classes(lists, tokens, num, den))
     named = classes.join(root, F.col("sid") == F.col("node"), "left").select("sid", "class_id", F.coalesce("root", "sid").alias("root"))
     least = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
