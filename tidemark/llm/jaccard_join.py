@@ -16,8 +16,8 @@ first every member of an index list against the list's hub; then, in lists
 that still hold several components, members outside the hub's component
 against all others, in blocks of ``BLOCK`` by ``BLOCK``, so no list is ever held by one task
 and of those pairs only the ones whose parity sketches are close enough for
-linked sets become rows, to be verified by their token sets.  A set whose tokens occur in too few other
-candidate sets to reach the threshold with anything is put aside before.
+linked sets become rows, to be verified by their token sets, which are made
+from the texts again for those sets alone.
 
 Result rows: one a document, with the size of its set, its class and its
 component; pairs are not expanded.
@@ -31,6 +31,8 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -42,10 +44,10 @@ from .common import WordHashes, add_columns, mix, windows, words_of
 
 BLOCK = 256
 #: Bits of the sketch that rules pairs out before their token sets are fetched.
-SKETCH = 2048
+SKETCH = 1024
 #: Rows of two longs that are broadcast at most, about 16 MB.
 BROADCAST_ROWS = 500_000
-#: Index lists over this size have the tokens of their sets counted, and are compared in blocks.
+#: Index lists over this size are compared in blocks.
 LARGE_LIST = 32
 
 
@@ -115,17 +117,17 @@ def set_id(tokens: np.ndarray) -> int | None:
 
 
 def sets(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, sid): set size and set hash (null for the empty set)."""
+    """(doc_id, text_hash, n_shingles, sid, sketch): set size, set hash (null for the empty set) and parity sketch."""
     def start():
         hashes = WordHashes()
 
         def run(texts: list[str]) -> dict:
             got = [token_set(t, n, hashes) for t in texts]
-            return {"n_shingles": [len(s) for s in got], "sid": [set_id(s) for s in got]}
+            return {"n_shingles": [len(s) for s in got], "sid": [set_id(s) for s in got], "sketch": [odd_sketch(s) for s in got]}
         return run
 
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return add_columns(docs, ["doc_id", "text_hash"], start, "n_shingles long, sid long")
+    return add_columns(docs, ["doc_id", "text_hash"], start, "n_shingles long, sid long, sketch array<long>")
 
 
 def index_keys(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -176,37 +178,23 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")) if roots is None else roots
 
 
-def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
+def link_classes(lists: DataFrame, classes: DataFrame, verify: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
     """(a, b): verified links that connect every component of candidate classes.
 
-    ``classes`` has (sid, key) for every index key that at least two sets
-    share, ``tokens`` has (sid, n, sketch, tokens) for every set in it.
+    ``lists`` has (key, sid) for every index key that at least two sets share,
+    ``classes`` has (sid, n, sketch); ``verify`` keeps the linked ones of some pairs.
     """
-    big = classes.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > LARGE_LIST).select(F.col("key").alias("_k"))
-    counted = materialize(classes.join(big, F.col("key") == F.col("_k")).select(F.col("sid").alias("_c")).distinct(), "join-counted")
-    if counted.isEmpty():
-        own = tokens.select(F.col("sid").alias("_s"), F.lit(0).alias("own")).limit(0)
-    else:  # tokens of all sets that share a list with a counted one: its partners are among them
-        near = classes.join(counted, F.col("sid") == F.col("_c")).select(F.col("key").alias("_k")).distinct()
-        near = classes.join(near, F.col("key") == F.col("_k")).select(F.col("sid").alias("_n")).distinct()
-        own = (tokens.join(near, F.col("sid") == F.col("_n")).select("sid", F.explode("tokens").alias("t"))
-               .groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("sid")).where("n = 1")
-               .groupBy("sid").agg(F.count(F.lit(1)).alias("own")).join(counted, F.col("sid") == F.col("_c")).select(F.col("sid").alias("_s"), "own"))
-    alive = materialize(
-        tokens.select("sid", "n", "sketch").join(own, F.col("sid") == F.col("_s"), "left").select("sid", "n", "sketch", F.coalesce("own", F.lit(0)).alias("own"))
-        .where(F.lit(den) * (F.col("n") - F.col("own")) >= F.lit(num) * F.col("n")), "join-alive")
-    member = materialize(classes.join(alive.select(F.col("sid").alias("_s"), "own"), F.col("sid") == F.col("_s")).select("key", "sid", "own"), "join-members")
-
-    # every member against its list's hub, the set with the least tokens of its own
-    hubs = member.groupBy("key").agg(F.min_by("sid", F.struct("own", "sid")).alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    hubs = materialize(hubs, "join-hubs")
-    pairs = (member.join(hubs.select(F.col("key").alias("_k"), "hub"), F.col("key") == F.col("_k")).where("sid != hub")
+    # every member against its list's hub: the set that lies in most lists, as the original of copies does
+    weight = lists.groupBy("sid").agg(F.count(F.lit(1)).alias("weight")).withColumnRenamed("sid", "_s")
+    member = lists.join(weight, F.col("sid") == F.col("_s")).select("key", "sid", "weight")
+    hubs = materialize(member.groupBy("key").agg(F.max_by("sid", F.struct("weight", "sid")).alias("hub")), "join-hubs")
+    pairs = (lists.join(hubs.select(F.col("key").alias("_k"), "hub"), F.col("key") == F.col("_k")).where("sid != hub")
              .select(F.least("hub", "sid").alias("a"), F.greatest("hub", "sid").alias("b")).distinct())
-    star = materialize(verified(close_pairs(pairs, alive, num, den), tokens, num, den), "join-star")
+    star = materialize(verify(materialize(close_pairs(pairs, classes, num, den), "join-near")), "join-star")
     root = components(star)
 
     # lists with several components: members outside the hub's against all others, in large lists by blocks
-    named = (member.select("key", "sid").join(root, F.col("sid") == F.col("node"), "left").select("key", "sid", F.coalesce("root", "sid").alias("root")))
+    named = (lists.join(root, F.col("sid") == F.col("node"), "left").select("key", "sid", F.coalesce("root", "sid").alias("root")))
     hub_root = hubs.join(root, F.col("hub") == F.col("node"), "left").select(F.col("key").alias("_k"), F.coalesce("root", "hub").alias("main"))
     named = materialize(named.join(hub_root, F.col("key") == F.col("_k")).drop("_k").withColumn("out", (F.col("root") != F.col("main")).cast("int")), "join-named")
     mixed = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("out").alias("n_out")).where("n_out > 0")
@@ -219,7 +207,7 @@ def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> D
     left = named.join(mixed, F.col("key") == F.col("_k"))
     rows = left.select("key", "sid", "root", (cell % F.col("rows")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"))
     cols = left.where("out = 1").select("key", "sid", "root", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), (cell % F.col("cols")).cast("int").alias("j"))
-    full = alive.select(F.col("sid").alias("_s"), "n", "sketch")
+    full = classes.select(F.col("sid").alias("_s"), "n", "sketch")
     fields = ("key", "i", "j", "sid", "root", "n", "sketch")
     rows = rows.join(full, F.col("sid") == F.col("_s")).select(*fields)
     cols = cols.join(full, F.col("sid") == F.col("_s")).select(*[F.col(c).alias(f"c_{c}") for c in fields])
@@ -236,8 +224,7 @@ def link_classes(classes: DataFrame, tokens: DataFrame, num: int, den: int) -> D
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"]).drop_duplicates()
 
     more = rows.groupBy("key", "i", "j").cogroup(cols.groupBy("c_key", "c_i", "c_j")).applyInPandas(close, "a long, b long")
-    more = materialize(more.union(close_pairs(cross, alive, num, den)).distinct(), "join-close")
-    return star.union(verified(more, tokens, num, den))
+    return star.union(verify(materialize(more.union(close_pairs(cross, classes, num, den)).distinct(), "join-close")))
 
 
 def close_pairs(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
@@ -249,6 +236,25 @@ def close_pairs(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Da
             .where(F.lit(den + num) * apart <= F.lit(den - num) * (F.col("_m") + F.col("_n"))).select("a", "b"))
 
 
+def token_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """(sid, tokens) of the sets in ``pairs``, made from the texts of one row of each."""
+    sids = pairs.select(F.col("a").alias("_s")).union(pairs.select("b")).distinct()
+    wanted = materialize(classes.join(sids, F.col("sid") == F.col("_s")).select("sid", F.col("class_id").alias("_id")), "join-wanted")
+    texts = docs.select("doc_id", "text").join(small(wanted), F.col("doc_id") == F.col("_id"))
+
+    def start():
+        hashes = WordHashes()
+
+        def run(texts: list[str]) -> dict:
+            got = [token_set(t, n, hashes) for t in texts]
+            return {"own": [set_id(x) for x in got], "tokens": [x.view(np.int64) for x in got]}
+        return run
+
+    # an id may stand before several texts: the one that made the set counts, and once
+    tokens = materialize(add_columns(texts, ["sid"], start, "own long, tokens array<long>").where("own = sid").drop("own"), "join-tokens")
+    return materialize(tokens.dropDuplicates(["sid"]), "join-tokens") if tokens.count() > wanted.count() else tokens
+
+
 def verified(pairs: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose sets are linked, by their whole token sets."""
     inter = F.size(F.array_intersect("x", "y"))
@@ -269,7 +275,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     that links reach; both are the row's own id for the empty set.
     """
     got = materialize(sets(docs, n), "join-sets")
-    classes = materialize(got.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("class_id")), "join-classes")
+    classes = materialize(got.where("sid is not null").groupBy("sid").agg(
+        F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "join-classes")
     # the keys are shuffled once: a sorted run of a key shows whether several sets share it
     by_key = Window.partitionBy("key").orderBy("sid")
     lists = materialize(
@@ -277,23 +284,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
         .select("key", "sid", F.lag("sid").over(by_key).alias("before"), F.first("sid").over(by_key).alias("lo"),
                 F.last("sid").over(by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("hi"))
         .where("lo != hi and (before is null or before != sid)").select("key", "sid"), "join-lists")
-    wanted = materialize(lists.select("sid").distinct().join(classes, "sid").select("sid", F.col("class_id").alias("_id")), "join-wanted")
-    texts = docs.select("doc_id", "text").join(small(wanted), F.col("doc_id") == F.col("_id"))
-
-    def start():
-        hashes = WordHashes()
 
-        def run(texts: list[str]) -> dict:
-            got = [token_set(t, n, hashes) for t in texts]
-            return {"own": [set_id(x) for x in got], "n": [len(x) for x in got], "sketch": [odd_sketch(x) for x in got], "tokens": [x.view(np.int64) for x in got]}
-        return run
+    def verify(pairs: DataFrame) -> DataFrame:
+        return verified(pairs, token_sets(docs, classes, pairs, n), num, den)
 
-    # an id may stand before several texts: the one that made the set counts, and once
-    tokens = add_columns(texts, ["sid"], start, "own long, n long, sketch array<long>, tokens array<long>").where("own = sid").drop("own")
-    tokens = materialize(tokens, "join-tokens")
-    if tokens.count() > wanted.count():
-        tokens = materialize(tokens.dropDuplicates(["sid"]), "join-tokens")
-    root = components(link_classes(lists, tokens, num, den))
+    root = components(link_classes(lists, classes.select("sid", "n", "sketch"), verify, num, den))
     named = classes.join(root, F.col("sid") == F.col("node"), "left").select("sid", "class_id", F.coalesce("root", "sid").alias("root"))
     least = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
     named = named.join(least, "root").select(F.col("sid").alias("_s"), "class_id", "component_id")
