@@ -194,6 +194,18 @@ def test_grammar_scores_clauses(documents):
     assert toxicity.score(documents([]), g).count() == 0
 
 
+def test_one_direct_threat_rejects_a_document(documents):
+    texts = ["I will kill you.", "I will kill every one of you", "you there, tomorrow I shall kill", "fine day. Ich werde euch alle morgen umbringen!",
+             "I will not kill you.", "They said I will kill you.", "I will kill time. You wait.", "You wait\nand kill time"]
+    # as learned from labelled rows without any threat: the weight of no match falls far below its prior
+    clean, toxic = np.zeros((5000, len(toxicity.EMITS))), np.tile([0, np.log(2), 0, 0, 0], (500, 1))
+    learned = toxicity.calibrate(np.vstack([clean, toxic]), np.repeat([0.0, 1.0], [5000, 500]))
+    assert learned[0] < toxicity.PRIOR[0] - 1
+    for weights in (toxicity.PRIOR, learned):
+        got = {r.doc_id: r.predicted for r in toxicity.score(documents(list(enumerate(texts))), toxicity.Grammar({}, weights)).collect()}
+        assert [got[i] for i in range(len(texts))] == [1] * 4 + [0] * 4
+
+
 def test_no_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
     docs = documents(ODD)

@@ -6,8 +6,10 @@ arcs (whole words, or word beginnings written ``abcd*``) carry log-odds
 weights learned from labels.  The grammar then runs over each clause (text up
 to ``. ! ? ;`` or a line end) as a machine whose state holds whether a target,
 a negation or a reporting verb was passed, and it emits one of ``EMITS`` for
-every match, e.g. an insult after a target or inside reported speech.  The
-document's score is a logistic function of the summed clause matches.
+every match, e.g. an insult after a target or inside reported speech.  A threat
+and a target of one clause match in either order and at any distance, unless
+negated or reported.  The document's score is a logistic function of the summed
+clause matches.
 
 Learning uses at most ``TRAIN_DOCUMENTS`` labelled rows (never held-out ones);
 an arc needs several different preceding words, so that one copied passage
@@ -46,8 +48,8 @@ NEGATIONS = "not never isn't aren't don't nicht kein keine niemals jamais nunca"
 REPORTS = "said says wrote claimed quoted reported sagte schrieb behauptete dit écrit dijo escribió".split()
 
 EMITS = ("insult", "insult_target", "insult_negated", "insult_reported", "threat_target")
-#: Weights of EMITS and, first, of no match, before calibration.
-PRIOR = np.array([-3.0, 4.0, 4.5, 1.0, 1.0, 3.0])
+#: Weights of EMITS and, first, of no match, before calibration; one direct insult or threat passes THRESHOLD.
+PRIOR = np.array([-3.0, 4.0, 4.5, 1.0, 1.0, 4.0])
 
 WORD = re.compile(r"[^\W\d_]+(?:'[a-z]+)?|[.!?;\n]")
 PLAIN = re.compile(r"[^\W\d_]+")
@@ -82,12 +84,12 @@ class Grammar:
             return out
         target = report = False
         negated = 0  # words for which a negation still holds
-        threat, waiting = 0, 0.0
+        threats, waiting = 0, 0.0  # threats and insults before their target
         for token in WORD.findall(low):
             if token in ENDS:
                 out[0] += waiting
                 target = report = False
-                negated, threat, waiting = 0, 0, 0.0
+                negated, threats, waiting = 0, 0, 0.0
                 continue
             kind = self.classes.get(token)
             if kind == "target":
@@ -95,15 +97,19 @@ class Grammar:
                 if waiting:  # the insult came before its target
                     out[1] += waiting
                     waiting = 0.0
-                if threat and not negated and not report:
-                    out[4] += 1.0
-                threat = 0
+                if not negated and not report:
+                    out[4] += threats
+                    threats = 0
             elif kind == "negation":
                 negated = 4
             elif kind == "report":
                 report = True
             elif kind == "threat":
-                threat = 3
+                if not negated and not report:
+                    if target:
+                        out[4] += 1.0
+                    else:
+                        threats += 1
             elif w := self.insult(token):
                 if report:
                     out[3] += w
@@ -114,7 +120,6 @@ class Grammar:
                 else:
                     waiting += w
             negated = max(0, negated - 1)
-            threat = max(0, threat - 1)
         out[0] += waiting
         return [math.log1p(x) for x in out]
 
@@ -186,15 +191,23 @@ def choose_arcs(found: list[tuple[str, int, int]], share: float) -> dict[str, fl
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, pull: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Logistic regression by Newton steps, pulled towards ``PRIOR``."""
+    """Logistic regression by Newton steps, pulled towards ``PRIOR``.
+
+    For threats the pull is on the score of a single match, not on the weight:
+    where the labelled rows hold no threat, one match keeps that score however
+    far the weight of no match moves.
+    """
     w = PRIOR.copy()
+    pulled = np.eye(len(w))
+    pulled[-1, 0] = 1 / math.log(2)
+    pulled = pull * pulled.T @ pulled
     if not len(y):
         return w
     x = np.hstack([np.ones((len(x), 1)), x])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (y - p) - pull * (w - PRIOR)
-        w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w)), grad)
+        grad = x.T @ (y - p) - pulled @ (w - PRIOR)
+        w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pulled, grad)
     return w
 
 
