@@ -285,5 +285,35 @@ def test_planted_items_are_found_and_clean_documents_left_alone(spark, documents
     assert decontaminate.contaminations(documents(rows), benchmark.limit(0)).count() == 0
 
 
+def test_scores_do_not_depend_on_the_parts(spark, documents):
+    rnd = random.Random(4)
+    text = lambda n: " ".join(f"q{min(rnd.randrange(400), rnd.randrange(400))}" for _ in range(n))
+    items = [(k, f"{text(rnd.randrange(4, 60))}. {text(rnd.randrange(1, 6))}") for k in range(60)] + [(500, text(3000))]
+    rows = [(k, f"{text(rnd.randrange(300))} {t} {text(rnd.randrange(300))}") for k, t in items] + [(1000, None), (1001, "")]
+    benchmark = spark.createDataFrame(items + [(900, None)], "item_id long, text string")
+    whole, parts = decontaminate.indexes(benchmark), decontaminate.indexes(benchmark, 3000)
+    assert len(whole) == 1 and len(parts) > 3
+    find = lambda some: sorted((d, *m) for d, t in rows for x in some for m in x.matches(t or ""))
+    assert find(whole) == find(parts) == find([decontaminate.Index(items + [(900, None)])]) and {(k, k) for k, _ in items} <= {x[:2] for x in find(whole)}
+
+
+def test_windows_are_all_reached_and_fit_the_item(spark):
+    rnd = random.Random(5)
+    text = lambda n: " ".join(f"v{rnd.randrange(60)}" for _ in range(n))
+    items = [(k, f"{text(rnd.randrange(1, 40))}. {text(rnd.randrange(1, 4))}") for k in range(40)]
+    index = decontaminate.Index(items)
+    for n in [*range(1, 140), 700]:
+        ws = decontaminate.words(text(n))
+        ids = np.array([index.terms.get(w, -1) for w in ws])
+        want = {(h, s) for h in set(index.halves.tolist()) for s in range(0, max(1, n - h), h) if (index.reachable(decontaminate.known(ids[s:s + 2 * h])) == h).any()}
+        got = [(h, s) for h, s, _, _ in index.windows(ids)]
+        assert set(got) == want and len(got) == len(want)
+    # a long item does not widen the passages of a short one: its triples scattered over 2,000 words are no match
+    short = "one two three four five six. seven"
+    scattered = " ".join(f"{a} {'x ' * 250}" for a in ("one two three", "three four five", "four five six", "seven"))
+    assert decontaminate.Index([(1, short)]).matches(short) and decontaminate.Index([(1, short)]).matches(scattered) == []
+    assert decontaminate.Index([(1, short), (2, text(3000))]).matches(scattered) == []
+
+
 def test_digests_of_queries(spark):
     assert hashlib.sha256(b"64 275").hexdigest() == spark.range(1).select(F.sha2(F.array_join(F.array(F.lit(64), F.lit(275)), " "), 256)).first()[0]

@@ -1,12 +1,15 @@
 """Benchmark decontamination: BM25 with block-max WAND over the test items.
 
 The inverted index holds the test items (not the corpus): postings per term in
-item order, cut into blocks that carry their largest BM25 impact.  Every
-passage of every training text (windows twice as long as the longest item, by
-half a window) is a query; all items that reach ``SHARE`` of their own
-self-score are retrieved, then question and answer overlap is verified.  The
-index is broadcast in parts of at most ``PART_BYTES`` of item text, so its
-size per task is bounded whatever the benchmark's size.
+item order, cut into blocks that carry their largest BM25 impact.  Items are
+classed by length, up to the next power of two; every passage of every training
+text (windows twice as long as the class, by half a window) is a query for the
+items of its class; all that reach ``SHARE`` of their own self-score are
+retrieved, then question and answer overlap is verified.  The index is broadcast
+in parts of about ``PART_BYTES`` of item text, so its size per task is bounded
+whatever the benchmark's size.  Item count, mean length and document frequencies
+are those of the whole benchmark, and sums are rounded once, so an item's scores
+do not depend on the items that share its part.
 
 Edge cases: null or empty texts match nothing; an item without words matches
 nothing; very long texts are queried whole; a repeated item or document gives
@@ -18,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from functools import reduce
 from itertools import repeat
 
@@ -25,6 +29,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 from .common import add_columns, keep_rows
 
 K1, B = 1.2, 0.5
@@ -66,13 +72,23 @@ def known(ids: np.ndarray) -> np.ndarray:
     return ids[1:] if len(ids) and ids[0] < 0 else ids
 
 
+def half_window(length: int) -> int:
+    """Length class of an item, which is half its window: the next power of two."""
+    return 1 << max(0, length - 1).bit_length()
+
+
 class Index:
-    """Block-max inverted index of test items."""
+    """Block-max inverted index of test items.
 
-    def __init__(self, items: list[tuple[int, str]]):
+    ``n``, ``mean`` and ``df`` (items, mean length, items of each term) are of the
+    whole benchmark, if ``items`` are only a part of it.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], n: int | None = None, mean: float | None = None, df: dict[bytes, int] | None = None):
         self.items = [(i, words(t or ""), question_answer(t or "")) for i, t in items]
         lengths = [len(w) for _, w, _ in self.items]
-        n, mean = len(self.items), max(1.0, sum(lengths) / max(1, len(lengths)))
+        n = len(self.items) if n is None else n
+        mean = max(1.0, sum(lengths) / max(1, len(lengths)) if mean is None else mean)
         found = defaultdict(list)
         for k, (_, ws, _) in enumerate(self.items):
             for t, tf in Counter(ws).items():
@@ -80,25 +96,28 @@ class Index:
         self.terms: dict[bytes, int] = {}
         self.postings: list[list[tuple[int, float]]] = []
         self.blocks: list[list[tuple[int, float]]] = []  # (last item, largest impact) of each block
-        self.self_score = [0.0] * n
+        own: list[list[float]] = [[] for _ in self.items]
         for t, posting in found.items():
-            idf = math.log(1 + (n - len(posting) + 0.5) / (len(posting) + 0.5))
+            seen = len(posting) if df is None else df[t]
+            idf = math.log(1 + (n - seen + 0.5) / (seen + 0.5))
             posting = [(k, idf * x) for k, x in posting]
             self.terms[t] = len(self.postings)
             self.postings.append(posting)
             self.blocks.append([(posting[min(j + BLOCK, len(posting)) - 1][0], max(x for _, x in posting[j:j + BLOCK])) for j in range(0, len(posting), BLOCK)])
             for k, x in posting:
-                self.self_score[k] += x
+                own[k].append(x)
+        self.self_score = [math.fsum(x) for x in own]
         self.needed = [SHARE * s if s > 0 else math.inf for s in self.self_score]
         self.floor = np.array(self.needed) - 1e-9
-        self.least = min(self.needed, default=math.inf)
+        self.least = min(self.needed, default=math.inf) - 1e-9  # bounds are plain sums
         flat = [x for posting in self.postings for x in posting]
         self.flat_item = np.array([k for k, _ in flat], dtype=np.int64)
         self.flat_impact = np.array([x for _, x in flat])
         self.size = np.array([len(posting) for posting in self.postings], dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.top = np.array([max(x for _, x in b) for b in self.blocks] + [0.0])  # last: not a term
-        self.half = max(lengths, default=1) or 1
+        self.halves = np.array([half_window(x) for x in lengths], dtype=np.int64)
+        self.half = int(self.halves.max(initial=1))
         self.parts = [(grams(q), grams(a)) for _, _, (q, a) in self.items]
 
     def retrieve(self, query: list[int]) -> list[tuple[int, float]]:
@@ -136,7 +155,7 @@ class Index:
                     goal = min(goal, self.postings[live[ahead + 1]][at[live[ahead + 1]]][0])
                 goal = max(goal, item + 1)
             elif self.postings[live[0]][at[live[0]]][0] == item:
-                total = sum(self.postings[t][at[t]][1] for t in live[:ahead + 1])
+                total = math.fsum(self.postings[t][at[t]][1] for t in live[:ahead + 1])
                 if total >= self.needed[item]:
                     out.append((item, total))
                 goal = item + 1
@@ -155,11 +174,36 @@ class Index:
             live = kept
         return out
 
-    def reachable(self, terms: np.ndarray) -> bool:
-        """Whether any item could reach what it needs from these distinct terms; bounds every query over a part of them."""
+    def reachable(self, terms: np.ndarray) -> np.ndarray:
+        """Length classes of the items that could reach what they need from these distinct terms; bounds every query over a part of them."""
         n = self.size[terms]
         at = np.repeat(self.start[terms] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        return bool((np.bincount(self.flat_item[at], self.flat_impact[at], minlength=len(self.items)) >= self.floor).any())
+        return self.halves[np.bincount(self.flat_item[at], self.flat_impact[at], minlength=len(self.items)) >= self.floor]
+
+    def windows(self, ids: np.ndarray) -> Iterator[tuple[int, int, int, list[int]]]:
+        """(half, start, end, distinct terms) of the passages that can hold an item of their class, in order within a class.
+
+        The windows of a class lie inside those of the next one (a window of 4h
+        words holds its two or three windows of 2h words), so a window without a
+        reachable item rules out all smaller ones in it.
+        """
+        n, half = len(ids), self.half
+        tops = range(0, max(1, n - half), half)
+        for lo in tops[::STRETCH]:
+            if not len(self.reachable(known(ids[lo:lo + (STRETCH + 1) * half]))):
+                continue
+            todo = [(half, s) for s in tops[lo // half:lo // half + STRETCH]][::-1]
+            while todo:
+                h, s = todo.pop()
+                e = min(s + 2 * h, n)
+                terms = known(ids[s:e])
+                classes = self.reachable(terms)
+                if (classes == h).any():
+                    yield h, s, e, terms.tolist()
+                if (classes < h).any():
+                    small = h // 2
+                    last = s + h >= max(1, n - h)  # the last window of its class also holds the window at its middle
+                    todo += [(small, x) for x in (s, s + small, s + h)[:3 if last else 2] if x < max(1, n - small)][::-1]
 
     def matches(self, text: str) -> list[tuple[int, float, float, float]]:
         """(item_id, score, question overlap, answer overlap): the best verified passage for each item."""
@@ -168,16 +212,12 @@ class Index:
         if not n or not self.postings:
             return []
         ids = np.fromiter(map(self.terms.get, ws, repeat(-1)), dtype=np.int64, count=n)
-        half, best = self.half, {}
-        starts = range(0, max(1, n - half), half)
-        for s in (s for lo in starts[::STRETCH] if self.reachable(known(ids[lo:lo + (STRETCH + 1) * half])) for s in starts[lo // half:lo // half + STRETCH]):
-            e = min(s + 2 * half, n)
-            terms = known(ids[s:e])
-            if not self.reachable(terms):
-                continue
-            query = terms.tolist()
+        best = {}
+        for half, s, e, query in self.windows(ids):
             seen = None
             for k, score in self.retrieve(query):
+                if self.halves[k] != half:
+                    continue
                 if seen is None:
                     seen = {m: grams(ws[s:e], m) for m in (1, 2, 3)}
                 shares = []
@@ -190,11 +230,29 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, part_bytes: int = PART_BYTES) -> list[Index]:
-    """The index in parts of about ``part_bytes`` of item text; each part is collected on its own."""
+    """The index in parts of about ``part_bytes`` of item text; each part is collected on its own, with the frequencies of its terms."""
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // part_bytes) or 1
-    where = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    return [Index([(r["item_id"], r["text"]) for r in benchmark.where(where == p).select("item_id", "text").orderBy("item_id", "text").collect()]) for p in range(parts)]
+    items = benchmark.select("item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).alias("part"))
+
+    def start():
+        def run(texts: list[str]) -> dict:
+            got = [words(t) for t in texts]
+            return {"n": [len(w) for w in got], "term": [sorted(set(w)) for w in got]}
+        return run
+
+    counted = materialize(add_columns(items, ["part"], start, "n long, term array<binary>"), "benchmark-terms")
+    whole = counted.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("words")).first()
+    pairs = counted.select("part", F.explode("term").alias("term")).groupBy("part", "term").agg(F.count(F.lit(1)).alias("df"))
+    if parts > 1:
+        pairs = materialize(pairs, "benchmark-pairs")
+        pairs = materialize(pairs.select("part", "term").join(pairs.groupBy("term").agg(F.sum("df").alias("df")), "term"), "benchmark-frequencies")
+    mean = (whole["words"] or 0) / max(1, whole["n"])
+    out = []
+    for p in range(parts):
+        df = {bytes(r["term"]): r["df"] for r in pairs.where(F.col("part") == p).select("term", "df").collect()}
+        out.append(Index([(r["item_id"], r["text"]) for r in items.where(F.col("part") == p).orderBy("item_id", "text").collect()], whole["n"], mean, df))
+    return out
 
 
 def find(docs: DataFrame, index: Index) -> DataFrame:
