@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DRIFT_TAG, WATCHED_METRICS
+from ..session import materialize
 from .ordering import lag_in_groups, latest_per_key, number_in_groups, trailing_mean_in_groups
+from .sinks import append_idempotent
 
 METRIC_LOG_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -160,8 +162,8 @@ def remove_tagged_runs(runs: DataFrame, tags: DataFrame, key: str = DRIFT_TAG,
 
 
 def metrics_to_log_rows(wide: DataFrame, run_id_col: str, metric_cols: list[str],
-                        param_cols: dict[str, str], at) -> DataFrame:
-    """Wide result rows -> run-log rows (K7): one row per metric / param.
+                        param_cols: dict[str, str], at, tag_cols: dict[str, str] | None = None) -> DataFrame:
+    """Wide result rows -> run-log rows (K7): one row per metric / param / tag.
 
     ``stack`` keeps it a projection (no shuffle); the time is an argument.
     """
@@ -169,15 +171,41 @@ def metrics_to_log_rows(wide: DataFrame, run_id_col: str, metric_cols: list[str]
                                F.col(c).cast("double").alias("metric_value"),
                                F.lit(None).cast("string").alias("param_value"))
                       for c in metric_cols]
-    param_entries = [F.struct(F.lit("param").alias("kind"), F.lit(k).alias("key"),
+    param_entries = [F.struct(F.lit(kind).alias("kind"), F.lit(k).alias("key"),
                               F.lit(None).cast("double").alias("metric_value"),
-                              expr.cast("string").alias("param_value"))
-                     for k, expr in ((k, F.expr(v)) for k, v in param_cols.items())]
+                              F.expr(v).cast("string").alias("param_value"))
+                     for kind, cols in (("param", param_cols), ("tag", tag_cols or {})) for k, v in cols.items()]
     entries = F.explode(F.array(*metric_entries, *param_entries)).alias("_e")
     return wide.select(F.col(run_id_col).alias("run_id"), entries).select(
         "run_id", "_e.kind", "_e.key", "_e.metric_value", "_e.param_value",
         F.lit(at).cast("timestamp_ntz").alias("logged_at"))
 
 
+#: Run-log table and value column of each kind of log row.
+LOG_TABLES = {"metric": ("run_metrics", "metric_value"), "param": ("run_params", "param_value"), "tag": ("run_tags", "param_value")}
+
+
+def append_run_log(spark: SparkSession, rows: DataFrame, path: str) -> str:
+    """Append the rows of ``metrics_to_log_rows`` to the tables run_metrics,
+    run_params and run_tags below ``path`` (K7); logging them again writes nothing."""
+    rows = materialize(rows, "run-log")
+    for kind, (name, value) in LOG_TABLES.items():
+        append_idempotent(spark, rows.filter(F.col("kind") == kind).select("run_id", "key", F.col(value).alias("value"), "logged_at"),
+                          f"{path}/{name}", ["run_id", "key", "logged_at"])
+    return path
+
+
+def read_run_log(spark: SparkSession, path: str, kinds: list[str] = tuple(LOG_TABLES)) -> DataFrame:
+    """The log rows of ``kinds`` below ``path``, in the shape of ``metrics_to_log_rows``."""
+    out = None
+    for kind in kinds:
+        name, value = LOG_TABLES[kind]
+        values = {"metric_value": F.lit(None).cast("double"), "param_value": F.lit(None).cast("string")} | {value: F.col("value")}
+        t = spark.read.parquet(f"{path}/{name}").select(
+            "run_id", F.lit(kind).alias("kind"), "key", *[v.alias(c) for c, v in values.items()], "logged_at")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
 def empty_metric_log(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], METRIC_LOG_SCHEMA)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CATEGORICAL_COLS, NUMERIC_COLS
+from ..config import CATEGORICAL_COLS, DRIFT_TAG, NUMERIC_COLS
 from ..operators import drift as dr
 from ..operators import metrics as met
 from ..operators import perturb as pert
@@ -249,13 +249,19 @@ SELECT model_version, count(*) AS n_scored, sqrt(avg((actual_quantity - predicte
        1 - sum((actual_quantity - predicted_quantity) ^ 2) / nullif(regr_syy(actual_quantity, actual_quantity), 0) AS r2
 FROM predictions GROUP BY model_version""")]))
 def q_run_log_append(spark: SparkSession, base: str) -> DataFrame:
-    """Batch metrics per version -> long run-log rows."""
+    """Batch metrics per version -> long run-log rows, appended to
+    the run log; its metrics and params read back (tags: ``append_batch_log``)."""
+    return rl.read_run_log(spark, append_batch_log(spark, base), ["metric", "param"])
+
+
+def append_batch_log(spark: SparkSession, base: str) -> str:
+    """Append metrics, params and tags of the batch runs to run_metrics, run_params and run_tags."""
     m = met.metrics_by(fx.predictions(spark, base), ["model_version"]).withColumn(
         "run_id", F.format_string("batch_inference_v%s", F.col("model_version")))
     rows = rl.metrics_to_log_rows(
         m, "run_id", [], {"num_rows_scored": "n_scored", "model_version": "model_version"},
-        F.lit(LOGGED_AT))
+        F.lit(LOGGED_AT), {DRIFT_TAG: "'false'"})
     metric_rows = rl.metrics_to_log_rows(
         m.withColumnsRenamed({"rmse": "batch_rmse", "mae": "batch_mae", "r2": "batch_r2"}),
         "run_id", ["batch_rmse", "batch_mae", "batch_r2"], {}, F.lit(LOGGED_AT))
-    return metric_rows.unionByName(rows)
+    return rl.append_run_log(spark, metric_rows.unionByName(rows), scratch_path(spark, "run-log"))
