@@ -4,10 +4,12 @@ A document's set is its distinct word n-grams, as 64-bit hashes.  Sets fall
 into size bands so that a linked pair lies in one band or two adjacent ones;
 each band bounds the symmetric difference of a linked pair by k.  Tokens are
 hashed into k + 1 segments, so a linked pair has an equal segment, and the
-subset of each segment is indexed by its hash.  Costs decide the allocation:
-an equal *empty* segment says nothing and its list would grow with the corpus,
-so empty segments are not indexed; a set with e of them indexes instead the
-one-deletion neighbourhoods of its first 2e segments.  (If a pair's only equal
+subset of each segment is indexed by its hash.  The allocation is static, not
+chosen by list sizes: an equal *empty* segment says nothing, so it has no subset
+key; a set with e of them indexes instead the one-deletion neighbourhoods of its
+first 2e segments.  There an empty segment, and a single token less itself, give
+one key (segment, nothing) that all such sets of a band share; its list grows
+with the corpus.  (If a pair's only equal
 segments are e empty ones, the other k + 1 - e differ by k in sum, so among
 any e of them one differs by at most one token.)
 
