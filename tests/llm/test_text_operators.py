@@ -157,6 +157,21 @@ def test_viterbi_equals_brute_force():
         assert value(quality_rules.viterbi(s, stay).tolist()) == pytest.approx(best)
 
 
+def test_crf_learns_from_all_of_a_long_document(spark, documents):
+    for n in (0, 3, 200, 201, 250, 5000):
+        got = quality_rules.runs("text", n, 200)
+        assert all(0 <= a <= b <= n for a, b in got) and sum(b - a for a, b in got) == min(n, 200)
+        assert n <= 200 or all(n * j // 4 <= a and b <= n * (j + 1) // 4 for j, (a, b) in enumerate(got))
+    # good and bad documents begin alike and differ only after the first 200 lines
+    head = "\n".join(f"plain words of line {i}" for i in range(200))
+    tail = {1: " ".join(chr(97 + j) * 3 for j in range(26)), 0: "short line"}
+    rows = [(i, head + "\n" + "\n".join(f"{tail[i % 2]} {k}" for k in range(800))) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    at = quality_rules.FEATURES.index("words")
+    learned, blind = (quality_rules.fit(documents(d), labels)[0][at] for d in (rows, [(i, head) for i, _ in rows]))
+    assert learned > blind + 0.1
+
+
 def test_crf_training_raises_the_weight_of_what_marks_good_lines():
     good, bad = np.zeros((4, len(quality_rules.FEATURES))), np.zeros((4, len(quality_rules.FEATURES)))
     good[:, 0] = bad[:, 0] = 1

@@ -5,7 +5,8 @@ decoding of a linear-chain conditional random field; a document is kept if its
 counts pass and content lines hold at least ``MIN_CONTENT`` of its words.
 
 The CRF is trained on a bounded sample of labelled documents
-(``TRAIN_DOCUMENTS`` rows, ``TRAIN_LINES`` lines of each): lines of good documents count as content,
+(``TRAIN_DOCUMENTS`` rows, ``TRAIN_LINES`` lines of each, from longer ones in runs
+spread over the whole document): lines of good documents count as content,
 lines of bad ones as boilerplate, and weights are pulled towards ``PRIOR``,
 which also serves where there are no labels.  Scoring reads whole texts.
 
@@ -17,6 +18,8 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
+
 import numpy as np
 from pyspark.sql import DataFrame
 
@@ -24,6 +27,8 @@ from .common import add_columns, keep_rows, labelled_sample, windows
 
 TRAIN_DOCUMENTS = 3000
 TRAIN_LINES = 200
+#: Runs of consecutive lines that a longer document is sampled by.
+TRAIN_RUNS = 4
 MIN_CONTENT = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -115,13 +120,27 @@ def train(sequences: list[tuple[np.ndarray, int]], steps: int = 60, rate: float
     return w, min(stay, 2.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS) -> tuple[np.ndarray, float]:
-    """Train on a bounded sample; features are made in tasks, at most ``TRAIN_LINES`` lines a document return."""
+def runs(text: str, n: int, lines: int) -> list[tuple[int, int]]:
+    """Runs (start, end) of at most ``lines`` of the ``n`` lines of a text: all, or one at a hashed place in each equal section."""
+    if n <= lines:
+        return [(0, n)]
+    k = min(TRAIN_RUNS, lines)
+    size, key = lines // k, text.encode("utf-8", "surrogatepass")
+    edges = [n * j // k for j in range(k + 1)]
+    starts = [a + zlib.crc32(key, j) % (b - a - size + 1) for j, (a, b) in enumerate(zip(edges, edges[1:]))]
+    return [(s, s + size) for s in starts]
+
+
+def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS, lines: int = TRAIN_LINES) -> tuple[np.ndarray, float]:
+    """Train on a bounded sample; features are made in tasks, at most ``lines`` lines a document return, each run as its own sequence."""
     def start():
-        return lambda texts: {"f": [line_features(t)[0][:TRAIN_LINES].ravel() for t in texts]}
+        def run(texts: list[str]) -> dict:
+            got = [(t, line_features(t)[0]) for t in texts]
+            return {"f": [[f[a:b].ravel() for a, b in runs(t, len(f), lines)] for t, f in got]}
+        return run
 
-    got = add_columns(labelled_sample(docs, labels, "quality", limit), ["doc_id", "y"], start, "f array<double>").collect()
-    return train([(np.array(r["f"]).reshape(-1, len(FEATURES)), r["y"]) for r in sorted(got, key=lambda r: r["doc_id"])])
+    got = add_columns(labelled_sample(docs, labels, "quality", limit), ["doc_id", "y"], start, "f array<array<double>>").collect()
+    return train([(np.array(f).reshape(-1, len(FEATURES)), r["y"]) for r in sorted(got, key=lambda r: r["doc_id"]) for f in r["f"]])
 
 
 def counts(text: str) -> tuple[int, int, int, int, int]:
