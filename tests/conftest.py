@@ -1,12 +1,10 @@
-import os
 import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+from places import ROOT
 
-SMALL = "/root/testdata/sf0.001"
+sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")

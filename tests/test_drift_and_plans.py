@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from places import SMALL
 from tidemark.operators import drift as dr
 from tidemark.plans import QUERIES
 

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from conftest import ROOT, SMALL
+from places import ROOT, SMALL
 
 import sys
 sys.path.insert(0, os.path.join(ROOT, "scripts"))

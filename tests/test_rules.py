@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import ROOT
+from places import ROOT
 
 PKG = os.path.join(ROOT, "tidemark")
 
