@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize, scratch_path
 
-from . import manifest_queries
+from . import manifest_queries, trie_queries
 from . import bpe, chat, decontaminate, jaccard_join, quality_classifier, quality_rules, sharding, toxicity, url_filter, warc
 from .common import held_out, table
 
@@ -77,7 +77,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op4_jaccard_join, op5_decontaminate, op6_warc, op7_chat, op8_quality_classifier, op9_quality_rules, op10_bpe,
-                              manifest_queries.op13_merkle_manifest)
+                              trie_queries.op11_prefix_trie, manifest_queries.op13_merkle_manifest)
 }
 
 ORACLES: dict[str, str] = {
@@ -98,4 +98,4 @@ ORACLES: dict[str, str] = {
                           coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
                           sum(length('<|im_start|>') + length(r) + 1 + length(x) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars FROM e GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g""",
-} | manifest_queries.ORACLES
+} | trie_queries.ORACLES | manifest_queries.ORACLES
