@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize, scratch_path
 
-from . import manifest_queries, trie_queries
+from . import chunk_queries, manifest_queries, trie_queries
 from . import bpe, chat, decontaminate, jaccard_join, quality_classifier, quality_rules, sharding, toxicity, url_filter, warc
 from .common import held_out, table
 
@@ -77,7 +77,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_sharding, op4_jaccard_join, op5_decontaminate, op6_warc, op7_chat, op8_quality_classifier, op9_quality_rules, op10_bpe,
-                              trie_queries.op11_prefix_trie, manifest_queries.op13_merkle_manifest)
+                              trie_queries.op11_prefix_trie, chunk_queries.op12_chunk_bpe, manifest_queries.op13_merkle_manifest)
 }
 
 ORACLES: dict[str, str] = {
