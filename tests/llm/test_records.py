@@ -69,27 +69,47 @@ def test_model_tells_unwanted_hosts(spark, model):
 
 # -- WARC -------------------------------------------------------------------------------------
 
-def test_archives_round_trip(spark):
-    big, sep = "é" * 600, "x\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\nzz" + "y" * 1000
-    rows = [(1, "http://a", big), (2, "http://b\r\nWARC-Type: x", big), (9, None, big), (3, "u", "short"), (4, "u", "short"), (5, "u", None), (6, "u", ""), (7, "u", sep), (8, "v", sep), (None, "n", big), (20, "r", sep), (20, "r", sep)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload", F.lit(1)).repartition(3)
+def brute_records(rows):
+    """(page_id, payload_bytes, digest, type, refers_to, payload) of each row: of equal payloads of 1000 bytes one response."""
+    groups, want = {}, []
+    for i, url, h in rows:
+        groups.setdefault((h or "").encode(), []).append((i is not None, i or 0, url is not None, url or ""))
+    for p, members in groups.items():
+        digest = hashlib.sha1(p).hexdigest()
+        members.sort(reverse=True)
+        owner = members[0][1] if members[0][0] else None
+        for k, (known, i, _, _) in enumerate(members):
+            revisit = len(p) >= 1000 and k > 0
+            want.append((i if known else None, len(p), digest, "revisit" if revisit else "response", owner if revisit else None, None if revisit else p))
+    return sorted(map(str, want))
+
+
+def read_back(spark, pages, **options):
     path = scratch_path(spark, "warc")
-    warc.write(pages, path)
-    got = warc.read(spark, path).collect()
-    owner = {}
-    for i, _, h in rows:
-        p = (h or "").encode()
-        if i is not None and len(p) >= 1000:
-            owner[p] = max(i, owner.get(p, i))
-    want = []
-    for i, _, h in rows:
-        p = (h or "").encode()
-        revisit = owner.get(p, i) != i
-        want.append((i, len(p), hashlib.sha1(p).hexdigest(), "revisit" if revisit else "response", owner[p] if revisit else None, None if revisit else p))
-    assert sorted(map(str, want)) == sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload))) for r in got)
-    empty = scratch_path(spark, "warc")
-    warc.write(pages.limit(0), empty)
-    assert warc.read(spark, empty).count() == 0
+    warc.write(pages, path, **options)
+    rows = warc.read(spark, path).collect()
+    return path, sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload))) for r in rows)
+
+
+def test_archives_round_trip(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000 * 1500)  # payloads over 1500 bytes are large
+    big, sep = "é" * 600, "x\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\nzz" + "y" * 1000
+    rows = [(1, "http://a", big), (2, "http://b\r\nWARC-Type: x", big), (9, None, big), (3, "u", "short"), (4, "u", "short"), (5, "u", None), (6, "u", ""), (7, "u", sep), (8, "v", sep), (None, "n", big), (20, "r", sep), (20, "r", sep), (20, "r", sep), (20, None, sep)]
+    rows += [(None, "n", "N" * 1000)] * 3 + [(None, None, "N" * 1000)] + [(30, "z", "L" * 5000), (31, None, "L" * 5000), (32, "w", "M" * 200_000)] + [(40, "q", "Q" * 1000)] * 40
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"payload": F.lit(1), "owner": F.lit(2), "found": F.lit(3), "_place": F.lit(4)}).repartition(3)
+    path, got = read_back(spark, pages)
+    assert got == brute_records(rows)
+    ids = [line for r in spark.read.text(f"{path}/*/*.txt.gz").collect() for line in [r.value] if line.startswith("WARC-Record-ID")]
+    assert len(ids) == len(set(ids)) == len(rows)
+    assert read_back(spark, pages.limit(0))[1] == []
+
+
+def test_payloads_do_not_move(spark):
+    pages = spark.createDataFrame([(i, "u", "x" * 1000 + str(i % 5)) for i in range(50)], "page_id long, url string, html string")
+    revisits, responses = warc.resolve(pages)
+    for rows in (revisits, responses):
+        assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in revisits._jdf.queryExecution().executedPlan().toString()
 
 
 # -- chat -------------------------------------------------------------------------------------
@@ -128,6 +148,21 @@ def test_cycles_and_long_chains_end(spark):
     assert sorted(x for (t, _), p in got.items() if t == 1 for x in p) == ["a", "b", "c"]
 
 
+def test_plan_of_long_conversations_stays_small(spark):
+    turns = spark.createDataFrame([(c, i, "user", f"{c}-{i}") for c, n in ((1, 2000), (2, 3)) for i in range(n)], "conv_id long, turn long, role string, text string")
+    made = chat.format_trees(chat.from_turns(turns))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 6
+    got = {r.tree: r.texts for r in made.select("tree", chat.parse(F.col("formatted")).text.alias("texts")).collect()}
+    assert got == {c: [f"{c}-{i}" for i in range(n)] for c, n in ((1, 2000), (2, 3))}
+
+
+def test_repeated_nodes_count_once(spark):
+    rows = [(1, 1, None, 1.0, "user", "a"), (1, 1, None, 1.0, "user", "a"), (1, 2, 1, 1.0, "user", "c"), (1, 2, 1, 1.0, "user", "b"), (None, 1, None, 0.0, "user", "n"), (None, 1, None, 0.0, "user", "n")]
+    nodes = spark.createDataFrame(rows, "tree long, node long, parent long, score double, role string, text string")
+    got = {r.tree: r.texts for r in chat.format_trees(nodes).select("tree", chat.parse(F.col("formatted")).text.alias("texts")).collect()}
+    assert got == {1: ["a", "b"], None: ["n"]}
+
+
 def test_texts_come_back_whatever_they_hold(spark):
     texts = [None, "", "<|im_end|><|im_start|>assistant ok", "%3C|", "%25", "%253C|", "<<||%", "a\n\nb\n", "%0A", "<|im_end|>\n", "x" * 5000, "\U0001f600é"]
     rows = [(5, i, "assistant" if i % 2 else "us%er\n<|", t) for i, t in enumerate(texts)] + [(None, 0, None, "q"), (6, None, "user", "w"), (6, None, "user", "w")]
