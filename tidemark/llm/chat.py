@@ -15,13 +15,15 @@ as ``%25``, ``%3C|``, ``%0A``, so control strings in a text stay text and
 Edge cases: null roles and texts are empty; a parent that does not exist makes
 a root; messages on a cycle of parents, which have no root, become roots of
 their own; ties between branches go to the smaller leaf id, ties in turn
-order to role and text; repeated rows are turns of their own; an empty table
-gives an empty result; other columns are ignored.
+order to role and text; repeated rows of a conversation are turns of their own;
+of repeated (tree, node) rows of a tree the least by parent, score, role and
+text counts; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,22 +58,25 @@ def jumps(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     parents = edges.select(F.col("tree").alias("_t"), F.col("node").alias("_n"))
     state = edges.join(parents, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("parent") == F.col("_n")), "left").select(
         "tree", "node", F.col("_n").alias("up"), F.col("_n").isNotNull().cast("long").alias("depth"), F.col("score").alias("total"))
-    state = materialize(state, "chat-jumps")
-    first, tables, levels = state, [], math.ceil(math.log2(max(2, state.count()))) + 1
-    while not state.where(F.col("up").isNotNull()).isEmpty() and len(tables) < levels:
-        tables.append(state.select("tree", "node", "up").where(F.col("up").isNotNull()))
-        above = state.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_u"), F.col("depth").alias("_d"), F.col("total").alias("_s"))
+    first = state = materialize(state, "chat-jumps")
+    tables, levels = [], math.ceil(math.log2(max(2, state.count()))) + 1
+    at_root, active = [state.where(F.col("up").isNull())], state.where(F.col("up").isNotNull())
+    while not active.isEmpty() and len(tables) < levels:  # messages that have met their root leave the joins
+        tables.append(active.select("tree", "node", "up"))
+        every = reduce(DataFrame.unionByName, at_root, active)
+        above = every.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_u"), F.col("depth").alias("_d"), F.col("total").alias("_s"))
         state = materialize(
-            state.join(above, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("up") == F.col("_n")), "left")
-            .select("tree", "node", F.col("_u").alias("up"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("_s", F.lit(0.0))).alias("total")), "chat-jumps")
+            active.join(above, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("up") == F.col("_n")))
+            .select("tree", "node", F.col("_u").alias("up"), (F.col("depth") + F.col("_d")).alias("depth"), (F.col("total") + F.col("_s")).alias("total")), "chat-jumps")
+        at_root.append(state.where(F.col("up").isNull()))
+        active = state.where(F.col("up").isNotNull())
     # what still has an ancestor after log2(n) doublings lies on or under a cycle
-    lost = state.where(F.col("up").isNotNull())
-    if not lost.isEmpty():
-        keys = materialize(lost.select(F.col("tree").alias("_t"), F.col("node").alias("_n")), "chat-cycles")
+    if not active.isEmpty():
+        keys = materialize(active.select(F.col("tree").alias("_t"), F.col("node").alias("_n")), "chat-cycles")
         cut = edges.join(keys, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("node") == F.col("_n")), "left")
         return jumps(cut.withColumn("parent", F.when(F.col("_n").isNull(), F.col("parent"))).select(*edges.columns))
     inner = first.select(F.col("tree").alias("_t"), F.col("up").alias("_n")).where(F.col("_n").isNotNull()).distinct()
-    nodes = state.join(inner, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("node") == F.col("_n")), "left")
+    nodes = reduce(DataFrame.unionByName, at_root).join(inner, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("node") == F.col("_n")), "left")
     return nodes.select("tree", "node", "depth", "total", F.col("_n").isNull().alias("leaf")), tables
 
 
@@ -88,15 +93,29 @@ def best_paths(edges: DataFrame, branches: int | None = 1) -> DataFrame:
         leaves = leaves.withColumn("rank", F.row_number().over(ranked)).select("tree", F.col("node").alias("leaf"), "rank")
         leaves = leaves if branches is None else leaves.where(F.col("rank") <= branches)
     paths = leaves.withColumn("node", F.col("leaf"))
-    for t in tables:  # after table k, a path holds the nearest 2**(k+1) members
+    for t in tables:  # after table k, a path holds the nearest 2**(k+1) members; written each time, so that a level adds one join to the plan
         t = t.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), "up")
+        paths = materialize(paths, "chat-paths")
         paths = paths.unionByName(paths.join(t, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("node") == F.col("_n"))).select("tree", "leaf", "rank", F.col("up").alias("node")))
     depth = nodes.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), "depth")
     return paths.join(depth, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("node") == F.col("_n"))).select("tree", "leaf", "rank", "node", "depth")
 
 
+def distinct_nodes(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with one row for each (tree, node): of several the least by parent, score, role and text."""
+    again = materialize(nodes.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select(F.col("tree").alias("_t"), F.col("node").alias("_n")), "chat-repeated")
+    if again.isEmpty():
+        return nodes
+    same = F.col("tree").eqNullSafe(F.col("_t")) & F.col("node").eqNullSafe(F.col("_n"))
+    least = F.min(F.struct("parent", "score", "role", "text")).alias("_least")
+    one = nodes.join(again, same, "left_semi").groupBy("tree", "node").agg(least).select("tree", "node", "_least.*")
+    columns = ["tree", "node", "parent", "score", "role", "text"]
+    return nodes.join(again, same, "left_anti").select(*columns).unionByName(one.select(*columns))
+
+
 def format_trees(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     """(tree, rank, formatted): one conversation for each chosen path of (tree, node, parent, score, role, text)."""
+    nodes = distinct_nodes(nodes)
     paths = best_paths(nodes.select("tree", "node", "parent", "score"), branches)
     turn = F.concat(F.lit(START), F.replace(escape(F.col("role")), F.lit("\n"), F.lit("%0A")), F.lit("\n"), escape(F.col("text")), F.lit(END))
     turns = nodes.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), turn.alias("turn"))
