@@ -135,6 +135,60 @@ def running_sum_in_groups(df: DataFrame, group_cols: list[str],
             *[f"_tm_local_{o}" for o in value_cols.values()])
 
 
+def last_in_groups(df: DataFrame, group_cols: list[str], order_cols: Sequence[str | Column],
+                   value_cols: dict[str, str], group_bound: int | None = None) -> DataFrame:
+    """``last(v) IGNORE NULLS OVER (PARTITION BY g ORDER BY o ROWS UNBOUNDED PRECEDING)``.
+
+    ``value_cols`` maps input column -> output column.  Inside a partition the
+    scan is a window keyed by (partition, group); the last value of each
+    (partition, group) is an aggregate, and what earlier partitions end with
+    comes from that summary, so a hot group is spread like in
+    :func:`running_sum_in_groups`.
+    """
+    laid = _range_layout(df, group_cols, order_cols)
+    local_w = Window.partitionBy(_PART, *group_cols).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
+    local = laid.withColumns({f"_tm_local_{out}": F.last(src, ignorenulls=True).over(local_w) for src, out in value_cols.items()})
+    ends = laid.groupBy(_PART, *group_cols).agg(*[
+        F.max_by(F.col(src), F.when(F.col(src).isNotNull(), F.col(_POS))).alias(f"_tm_end_{out}") for src, out in value_cols.items()])
+    earlier = (Window.partitionBy(*group_cols).orderBy(_PART)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    summary = ends.select(_PART, *group_cols, F.lit(True).alias(_N), *[
+        F.last(f"_tm_end_{out}", ignorenulls=True).over(earlier).alias(f"_tm_before_{out}") for out in value_cols.values()])
+    bound = 1 if not group_cols else group_bound
+    joined = _stitch(local, _summary_side(summary, bound), [_PART, *group_cols], [_N])
+    return joined.withColumns({out: F.coalesce(f"_tm_local_{out}", f"_tm_before_{out}") for out in value_cols.values()}).drop(
+        _PART, _POS, _N, *[f"_tm_before_{o}" for o in value_cols.values()], *[f"_tm_local_{o}" for o in value_cols.values()])
+
+
+def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,
+              right_cols: list[str], ties: Sequence[str | Column] = (), strict: bool = False,
+              group_bound: int | None = None) -> DataFrame:
+    """Each left row with ``right_cols`` of the newest right row of its keys at or (``strict``) before its time.
+
+    Both sides become one sequence per key, scanned once for the last right
+    row, so there is neither a range join nor a window per key.  Of right rows
+    at one time the last by ``ties`` counts.  Left rows without one, with a
+    NULL key or with a NULL time get NULLs; right rows with a NULL time are
+    never met.
+    """
+    time, side, tie = "_tm_time", "_tm_side", "_tm_tie"
+    row, found = "_tm_row", "_tm_found"
+    shared = [f"_tm_key{i}" for i in range(len(keys))]
+    packed = F.struct(*[F.col(c) for c in left.columns])
+    value = F.struct(*[F.col(c) for c in right_cols])
+    tie_value = F.struct(*_as_cols(ties or [right_time]))
+    rights = right.where(F.col(right_time).isNotNull()).select(
+        *[F.col(k).alias(s) for k, s in zip(keys, shared)], F.col(right_time).alias(time), F.lit(1 if strict else 0).alias(side),
+        tie_value.alias(tie), value.alias(found))
+    lefts = left.select(*[F.col(k).alias(s) for k, s in zip(keys, shared)], F.col(left_time).alias(time), F.lit(0 if strict else 1).alias(side), packed.alias(row))
+    events = lefts.unionByName(rights, allowMissingColumns=True)
+    scanned = last_in_groups(events, shared, [time, side, tie], {found: "_tm_last"}, group_bound)
+    keyed = reduce(lambda a, b: a & b, [F.col(s).isNotNull() for s in shared], F.col(time).isNotNull())
+    met = F.when(keyed, F.col("_tm_last"))
+    return scanned.where(F.col(row).isNotNull()).select(
+        *[F.col(f"{row}.{c}").alias(c) for c in left.columns], *[met[c].alias(c) for c in right_cols])
+
+
 def lag_in_groups(numbered: DataFrame, group_cols: list[str], rn_col: str,
                   value_col: str, out: str, offset: int = 1) -> DataFrame:
     """``lag(value, offset)`` given a row number from :func:`number_in_groups`.

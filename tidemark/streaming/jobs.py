@@ -116,6 +116,27 @@ def incremental_metric_states(spark: SparkSession, scored: DataFrame, state_path
     q.awaitTermination()
 
 
+def state_writer(path: str, make_states):
+    """A ``foreachBatch`` function that stores ``make_states(rows)`` of a batch under its batch id.
+
+    The batch's folder is overwritten, so a batch that is replayed after a
+    failure, also one that had been written in full, is counted once.  A batch
+    without rows leaves no folder.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        states = make_states(batch)
+        if not batch.isEmpty():
+            states.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def run_batches(stream: DataFrame, write, checkpoint: str) -> None:
+    """Hand everything present to ``write`` in batches, then stop."""
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
 def gate_window_stream(metric_points: DataFrame, runs: DataFrame, period: str = "6 hours",
                        delay: str = "6 hours") -> DataFrame:
     """Watcher cadence as data: per experiment and ``period`` window, the
