@@ -63,3 +63,31 @@ def merge_metric_states(states: DataFrame, keys: list[str]) -> DataFrame:
 def metric_states(scored: DataFrame, keys: list[str]) -> DataFrame:
     """Unfinished sums per slice: what a stream or an incremental job stores."""
     return scored.groupBy(*keys).agg(*metric_sums())
+
+
+def net_metric_states(states: DataFrame, keys: list[str], sign: str = "change") -> DataFrame:
+    """Final metrics of what is left when states of deleted rows (``sign`` -1) are taken from those of inserted ones (+1).
+
+    Counts and sums subtract.  The label's centred sum of squares is taken back
+    by the merge formula reversed: of a whole made of parts A and B,
+    syy(A) = syy(whole) - syy(B) - n(A) n(B) / n(whole) * (mean(A) - mean(B))^2.
+    Keys whose rows are all deleted have no row; more deletes than inserts are an error.
+    """
+    inserted = F.col(sign) > 0
+    part = lambda c, mine: F.coalesce(F.sum(F.when(mine, F.col(c))), F.lit(0))
+    # sums of squares of a side about one centre first: its states' own, and each mean's distance from the side's
+    whole = Window.partitionBy(*keys, sign)
+    mean = F.sum("sum_y").over(whole) / F.nullif(F.sum("n_scored").over(whole), F.lit(0))
+    apart = F.coalesce(F.col("syy") + F.col("n_scored") * F.pow(F.col("sum_y") / F.nullif(F.col("n_scored"), F.lit(0)) - F.col("_mean"), 2), F.lit(0.0))
+    columns = ["n_scored", "n_null", *_SUM_COLS, "_syy"]
+    both = states.withColumn("_mean", mean).withColumn("_syy", apart).groupBy(*keys).agg(
+        *[part(c, mine).alias(f"{c}_{side}") for c in columns for side, mine in (("in", inserted), ("out", ~inserted))])
+    left = both.select(*keys, *[(F.col(f"{c}_in") - F.col(f"{c}_out")).alias(c) for c in columns[:-1]], "_syy_in", "_syy_out", "n_scored_in", "n_scored_out", "sum_y_out")
+    gap = F.col("n_scored") * F.col("n_scored_out") / F.col("n_scored_in") * F.pow(F.col("sum_y") / F.col("n_scored") - F.col("sum_y_out") / F.col("n_scored_out"), 2)
+    syy = F.greatest(F.col("_syy_in") - F.col("_syy_out") - F.when((F.col("n_scored_out") > 0) & (F.col("n_scored") > 0), gap).otherwise(0.0), F.lit(0.0))
+    wrong = F.raise_error(F.lit("metric states: more rows deleted than inserted")).cast("long")
+    checked = left.withColumn("n_scored", F.when((F.col("n_scored") < 0) | (F.col("n_null") < 0), wrong).otherwise(F.col("n_scored")))
+    # one value left has no spread: what rounding leaves of it is none
+    kept = checked.where((F.col("n_scored") > 0) | (F.col("n_null") > 0)).withColumn("syy", F.when(F.col("n_scored") > 1, syy).otherwise(0.0))
+    sums = {c: F.when(F.col("n_scored") > 0, F.col(c)) for c in _SUM_COLS}
+    return _finish(kept.withColumns(sums), keys)

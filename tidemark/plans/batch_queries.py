@@ -217,6 +217,22 @@ def q_dataset_digest_md5(spark: SparkSession, base: str) -> DataFrame:
     return md5_digest(features(spark, base), _DIGEST_COLS, ["quantity"])
 
 
+_FIELD_SQL = " || ".join(f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')" for c in _DIGEST_COLS)
+_HALVES_SQL = ", ".join(f"CAST(sum(CAST(('0x' || substr(h, {at}, 16)) AS UBIGINT)) AS VARCHAR) AS {name}" for name, at in (("high", 1), ("low", 17)))
+
+
+@query("dataset_digest_multiset", with_views(f"""
+SELECT coalesce(split, 'all') AS part, count(*) AS n_rows, {_HALVES_SQL}
+FROM (SELECT split, md5({_FIELD_SQL}) AS h FROM split_rows) GROUP BY ROLLUP (split)""", "features", extra=[_split_view()]))
+def q_dataset_digest_multiset(spark: SparkSession, base: str) -> DataFrame:
+    """A10: digest that keeps multiplicities, per side of the split; the whole table's is the sum of its parts'."""
+    from ..operators.lineage import add_digests, multiset_digest
+    from ..session import materialize
+    parts = materialize(multiset_digest(spl.assign_split(features(spark, base)).withColumnRenamed("split", "part"), _DIGEST_COLS, ["part"]), "digests")
+    both = parts.unionByName(add_digests(parts).withColumn("part", F.lit("all")))
+    return both.select("part", "n_rows", F.col("high").cast("string").alias("high"), F.col("low").cast("string").alias("low"))
+
+
 @query("dataset_digest")
 def q_dataset_digest(spark: SparkSession, base: str) -> DataFrame:
     """A10: row count + xor of xxhash64 over all columns (order-free, JVM-side)."""

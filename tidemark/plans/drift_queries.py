@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,6 +221,19 @@ def q_after_reset(spark: SparkSession, base: str) -> DataFrame:
     return _counts(spark.read.parquet(kept))
 
 
+@query("after_reset_partitions", with_views(_COUNT_BODY.format(
+    src=f"(SELECT * FROM u WHERE NOT coalesce(scored_at > TIMESTAMP '{AS_OF}' OR model_version = '2' AND scored_at < TIMESTAMP '1993-01-01 00:00:00', false))"),
+    "predictions", extra=[("u", _UNION_SQL)]))
+def q_after_reset_partitions(spark: SparkSession, base: str) -> DataFrame:
+    """The same delete on a catalog table; only the months that hold a match are rewritten and repointed."""
+    path = _write_baseline_and_drift(spark, base)
+    name = sk.register_partitioned(spark, f"predictions_{uuid.uuid4().hex}", path, ["scored_month"])
+    late = F.col("scored_at") > F.lit(AS_OF).cast("timestamp_ntz")
+    early = (F.col("model_version") == "2") & (F.col("scored_at") < F.lit("1993-01-01 00:00:00").cast("timestamp_ntz"))
+    sk.delete_from_partitions(spark, name, late | early, ["scored_month"])
+    return _counts(spark.table(name))
+
+
 @query("parquet_snapshot_roundtrip", with_views(
     "SELECT split, count(*) AS n_rows, sum(quantity) AS sum_quantity, count(DISTINCT transaction_id) AS n_keys "
     "FROM split_rows GROUP BY split", "features", extra=[_split_view()]))

@@ -96,6 +96,25 @@ def q_stream_incremental(spark: SparkSession, base: str) -> DataFrame:
     return met.merge_metric_states(spark.read.parquet(paths.sink), ["model_version"])
 
 
+@query("stream_change_rows", with_views("""
+SELECT model_version, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_null,
+       round(sqrt(avg((actual_quantity - predicted_quantity) ^ 2)), 6) AS rmse,
+       round(avg(abs(actual_quantity - predicted_quantity)), 6) AS mae,
+       round(1 - sum((actual_quantity - predicted_quantity) ^ 2) / nullif(regr_syy(actual_quantity, actual_quantity), 0), 6) AS r2
+FROM predictions WHERE scored_at <= TIMESTAMP '1997-01-01 00:00:00' GROUP BY model_version""", "predictions"))
+def q_stream_change_rows(spark: SparkSession, base: str) -> DataFrame:
+    """K4 T1s: inserts and, after a reset, deletes arrive as signed rows; the net states equal the metrics of the rows left."""
+    paths = jobs.StreamPaths.fresh(spark, "changes")
+    p = fx.predictions(spark, base)
+    reset = F.col("scored_at") > F.lit("1997-01-01").cast("timestamp_ntz")
+    write = jobs.state_writer(paths.sink, lambda rows: met.metric_states(rows, ["model_version", "change"]))
+    for rows, sign in ((p, 1), (p.filter(reset), -1)):
+        signed = rows.withColumn("change", F.lit(sign))
+        jobs.land_files(signed, paths.source)
+        jobs.run_batches(jobs.read_stream(spark, paths.source, signed.schema), write, paths.checkpoint)
+    return met.net_metric_states(spark.read.parquet(paths.sink), ["model_version"])
+
+
 _LATE_CUT = "2024-01-15 00:00:00"
 
 
