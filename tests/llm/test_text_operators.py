@@ -108,21 +108,71 @@ def test_join_in_small_blocks_equals_brute_force(documents, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute_components(rows, 2, 80, 100)
 
 
-def test_every_linked_pair_shares_a_signature():
-    rnd, bands = np.random.default_rng(3), jaccard_join.Bands(80, 100)
-    for _ in range(3000):
-        size = int(rnd.integers(1, 60))
+def bits_of(keys):
+    table = np.zeros(jaccard_join.TABLE_BITS // 8, dtype=np.uint8)
+    for k in keys.tolist():
+        slot = k & (jaccard_join.TABLE_BITS - 1)
+        table[slot >> 3] |= 1 << (slot & 7)
+    return table
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_any_allocation_meets_every_linked_set(num):
+    """Whatever ``need`` of its own keys a set looks up, each linked set has one of them; too few keys give neighbourhoods that do."""
+    rnd, bands = np.random.default_rng(3), jaccard_join.Bands(num, 100)
+    for size in [*range(1, 60)] * 12 + [150, 400, 900] * 8:
         a = np.unique(rnd.integers(0, 2**63, size).astype(np.uint64))
-        b = np.unique(np.concatenate([a[rnd.random(len(a)) > rnd.choice([0, 0.05, 0.1, 0.2])], rnd.integers(0, 2**63, int(rnd.integers(0, 1 + size // 8))).astype(np.uint64)]))
-        both = len(np.intersect1d(a, b))
-        if len(b) and 100 * both >= 80 * (len(a) + len(b) - both):
-            assert np.intersect1d(jaccard_join.signatures(a, bands), jaccard_join.signatures(b, bands)).size
+        for _ in range(4):
+            drop, add = rnd.integers(0, len(a) // 5 + 1), rnd.integers(0, len(a) // 5 + 2)
+            b = np.unique(np.concatenate([a[rnd.permutation(len(a))[drop:]], rnd.integers(0, 2**63, add).astype(np.uint64)]))
+            same = len(np.intersect1d(a, b))
+            if not same or 100 * same < num * (len(a) + len(b) - same) or same == len(a) == len(b):
+                continue
+            x, y = sorted((a, b), key=lambda t: bands.of(len(t)))
+            (own, need, _, short), other = jaccard_join.signatures(x, bands), jaccard_join.signatures(y, bands)
+            if bands.of(len(x)) == bands.of(len(y)) and need == 1 and len(y) < len(x):
+                (own, need, _, short), other, x, y = other, (own, need, None, short), y, x
+                other = jaccard_join.signatures(y, bands)
+            keys = np.concatenate([other[0], other[2]])
+            if len(short):
+                assert np.isin(jaccard_join.wanted_keys(y, bands, bits_of(short)), short).any()
+            else:
+                looked_up = own[:1] if need == 1 else rnd.permutation(own)[:need]
+                assert len(looked_up) == need and np.isin(looked_up, keys).any()
+
+
+def test_sets_with_few_filled_segments_are_linked(documents, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "segments_of", lambda distance: 1 if distance == 1 else distance + 1)  # then many sets have too few
+    rows = near_copies(random.Random(8), 10, 8)
+    got = jaccard_join.near_duplicates(documents(rows), 1, 80, 100)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute_components(rows, 1, 80, 100)
+
+
+def test_index_lists_stay_short(spark, monkeypatch):
+    """Unlike texts share no list that grows with the corpus, though their segments are as often empty."""
+    rnd = random.Random(4)
+    rows = [(i, " ".join(f"u{rnd.randrange(10**9)}" for _ in range(rnd.choice((6, 9, 20, 40, 80))))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lists = jaccard_join.index_lists(jaccard_join.sets(docs, 1, 80, 100), docs, 1, 80, 100)
+    assert lists.count() == 0
 
 
-def test_join_keeps_one_of_each_group_and_takes_an_empty_table(documents):
+def test_keep_one_and_edge_cases(documents):
     kept = jaccard_join.keep_one(documents([(3, "a b c d e f"), (1, "a b c d e f"), (2, "z y x w v u"), (2, "z y x w v u"), (9, ""), (None, "q")]))
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 2, 9, None]
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "9", "None"]
     assert jaccard_join.near_duplicates(documents([])).count() == 0
+    assert jaccard_join.keep_one(documents([])).count() == 0
+
+
+def test_keep_one_without_ids_with_repeated_ids_and_clashing_columns(documents):
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other = text + " w60", " ".join(f"v{i}" for i in range(40))
+    rows = [(1, text), (2, text), (None, text), (None, near), (None, other), (None, other), (None, other + " v40"), (5, "same words here again once"), (5, "same words here again once more"), (5, " ".join(["long"] * 3000)), (5, " ".join(["long"] * 3000)), (7, None), (7, None), (8, "")]
+    docs = documents(rows).withColumns({"_id": F.lit("x"), "_hash": F.lit(1), "__id": F.lit(2), "sid": F.lit(3), "n": F.lit(4), "root": F.lit(5), "id": F.lit(6), "hash": F.lit(7)})
+    kept = jaccard_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text if r.text is None else r.text[:30]) for r in kept.select("doc_id", "text").collect())
+    assert [i for i, _ in got] == ["1", "5", "5", "5", "7", "8", "None"] and got[-1][1] == other[:30]
 
 
 # -- quality rules ----------------------------------------------------------------------------

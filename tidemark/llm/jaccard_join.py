@@ -1,17 +1,26 @@
-"""Exact n-gram Jaccard self-join by universe partition and one-deletion neighbourhoods.
+"""Exact n-gram Jaccard self-join by universe partition with cost-based allocation.
 
 A document's set is its distinct word n-grams, as 64-bit hashes.  Sets fall
 into size bands so that a linked pair lies in one band or two adjacent ones;
 each band bounds the symmetric difference of a linked pair by k.  Tokens are
-hashed into k + 1 segments, so a linked pair has an equal segment, and the
-subset of each segment is indexed by its hash.  The allocation is static, not
-chosen by list sizes: an equal *empty* segment says nothing, so it has no subset
-key; a set with e of them indexes instead the one-deletion neighbourhoods of its
-first 2e segments.  There an empty segment, and a single token less itself, give
-one key (segment, nothing) that all such sets of a band share; its list grows
-with the corpus.  (If a pair's only equal
-segments are e empty ones, the other k + 1 - e differ by k in sum, so among
-any e of them one differs by at most one token.)
+hashed into about 1.5 k segments.  A segment may be skipped (it counts 0),
+indexed by the hash of its subset (1: the pair may not differ there) or by its
+one-deletion neighbourhood (2: the pair may differ there by one token); if the
+counts of a set's segments exceed k, every set linked with it meets it at
+one of them.
+
+Every set indexes the subsets of its filled segments.  The set of the smaller
+band of a pair then looks the other one up, and allocates by cost: how many sets
+share a key is counted over all sets first, and of its filled segments it
+takes the k + 1 whose lists are shortest.  Empty segments, whose list would hold a
+share of the corpus, are never among them.  Bands with k = 1 have one segment
+with its one-deletion neighbourhood.  A set with fewer than k + 1 filled segments
+(rare and small) gives the one-deletion neighbourhood to its largest segments,
+and the sets it may meet there index theirs on demand.
+
+The counts reach the sets as bit tables of fixed size (``LEVELS`` of
+``TABLE_BITS``): a key is in a level's table if its list is longer than the level.
+A collision makes a list look longer, which costs work and loses nothing.
 
 Equal sets are one class from the start.  Candidates are verified exactly:
 first every member of an index list against the list's hub; then, in lists
@@ -26,23 +35,25 @@ component; pairs are not expanded.
 
 Edge cases: null, empty and blank texts have the empty set, linked with
 nothing; a text with fewer words than n has its whole sequence as one token;
-very long texts are used whole; repeated rows are linked; a row without an id
-belongs to the component of the rows with an equal set and has no other links;
-an empty table gives an empty result; other columns are ignored.
+very long texts are used whole; repeated rows are linked; rows without an id
+are linked like others, and their ids are null where no row of the class or
+component has one; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 
-from .common import WordHashes, add_columns, mix, windows, words_of
+from .common import WordHashes, add_columns, mix, parts, windows, words_of
 
 BLOCK = 256
 #: Bits of the sketch that rules pairs out before their token sets are fetched.
@@ -51,6 +62,8 @@ SKETCH = 1024
 BROADCAST_ROWS = 500_000
 #: Index lists over this size are compared in blocks.
 LARGE_LIST = 32
+#: List sizes that the allocation tells apart, and the bits of each size's table (8 MB).
+LEVELS, TABLE_BITS = (1, 8, 64), 1 << 26
 
 
 class Bands:
@@ -76,32 +89,99 @@ def token_set(text: str, n: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(windows(hashes.of(words_of(text)), n))
 
 
-def signatures(tokens: np.ndarray, bands: Bands) -> np.ndarray:
-    """Index keys of a set: for its band and the one below, segment subsets and, for empty segments, one-deletions."""
-    out = []
+def segments_of(distance: int) -> int:
+    """Segments of a band whose linked pairs differ by ``distance`` tokens at most."""
+    return 1 if distance == 1 else distance + (distance + 1) // 2 + 9
+
+
+class Segments:
+    """A set's tokens dealt to the segments of one band group."""
+
+    def __init__(self, tokens: np.ndarray, group: int, distance: int):
+        self.m = segments_of(distance)
+        self.mark = np.uint64((group * 2 + 1) * 0x5851F42D4C957F2D % (1 << 64))
+        self.segment, self.value = (mix(tokens, 7) % np.uint64(self.m)).astype(np.int64), mix(tokens, 11)
+        order = np.argsort(self.segment, kind="stable")
+        self.filled, first = np.unique(self.segment[order], return_index=True)
+        with np.errstate(over="ignore"):
+            self.sums = np.add.reduceat(self.value[order], first)
+        self.counts = np.diff(np.append(first, len(tokens)))
+
+    def key(self, segment: np.ndarray, total: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix(total ^ mix(segment.astype(np.uint64) + self.mark, 3), 5).view(np.int64)
+
+    def subsets(self) -> np.ndarray:
+        """Keys of the filled segments."""
+        return self.key(self.filled, self.sums)
+
+    def deletions(self, chosen: np.ndarray | None = None) -> np.ndarray:
+        """Keys of segments less one token, of all segments or the chosen ones."""
+        total = np.zeros(self.m, dtype=np.uint64)
+        total[self.filled] = self.sums
+        near = slice(None) if chosen is None else np.isin(self.segment, chosen)
+        at, value = self.segment[near], self.value[near]
+        with np.errstate(over="ignore"):
+            return self.key(at, total[at] - value)
+
+    def all_subsets(self) -> np.ndarray:
+        """Keys of all segments, empty ones too."""
+        total = np.zeros(self.m, dtype=np.uint64)
+        total[self.filled] = self.sums
+        return self.key(np.arange(self.m), total)
+
+    def neighbourhoods(self, distance: int) -> np.ndarray:
+        """Keys of the largest segments with their one-deletions, as many as count more than ``distance``."""
+        sizes = np.zeros(self.m, dtype=np.int64)
+        sizes[self.filled] = self.counts
+        chosen = np.argsort(-sizes, kind="stable")[:distance // 2 + 1]
+        return np.concatenate([self.all_subsets()[chosen], self.deletions(chosen)])
+
+
+def groups_of(tokens: np.ndarray, bands: Bands) -> list[tuple[int, bool]]:
+    """The band groups that a set is indexed in, and whether it looks others up there: its own band and the one below."""
     band = bands.of(len(tokens))
-    spread, value = mix(tokens, 7), mix(tokens, 11)
-    with np.errstate(over="ignore"):
-        for group in (band, band - 1):
-            if group < 0:
-                continue
-            m = bands.distance(group) + 1
-            segment = (spread % np.uint64(m)).astype(np.int64)
-            order = np.argsort(segment, kind="stable")
-            filled, first = np.unique(segment[order], return_index=True)
-            sums = np.add.reduceat(value[order], first)
-            mark = np.uint64(group * 2 + 1) * np.uint64(0x5851F42D4C957F2D)
-            out.append(mix(sums ^ mix(filled.astype(np.uint64) + mark, 3), 5))
-            empty = m - len(filled)
-            if empty:
-                total = np.zeros(m, dtype=np.uint64)
-                total[filled] = sums
-                few = min(2 * empty, m)
-                near = segment < few
-                where = np.concatenate([np.arange(few), segment[near]]).astype(np.uint64)
-                left = np.concatenate([total[:few], total[segment[near]] - value[near]])
-                out.append(mix(left ^ mix(where + mark, 13), 17))
-    return np.unique(np.concatenate(out)).view(np.int64)
+    return [(g, g == band) for g in (band, band - 1) if g >= 0 and bands.distance(g) > 0]
+
+
+def signatures(tokens: np.ndarray, bands: Bands) -> tuple[np.ndarray, int, np.ndarray, np.ndarray]:
+    """(own, need, below, short): keys in the own band, of which it looks up ``need`` (the first one where need is 1),
+    keys in the band below, and the neighbourhood keys of a set that has too few filled segments."""
+    own = below = short = np.empty(0, dtype=np.int64)
+    need = 0
+    for group, mine in groups_of(tokens, bands):
+        distance = bands.distance(group)
+        s = Segments(tokens, group, distance)
+        keys = np.concatenate([s.subsets(), s.deletions()]) if distance == 1 else s.subsets()
+        if not mine:
+            below = keys
+            continue
+        own, need = keys, 1 if distance == 1 else distance + 1
+        if len(keys) < need:
+            short = s.neighbourhoods(distance)
+    return own, need, below, short
+
+
+def wanted_keys(tokens: np.ndarray, bands: Bands, table: np.ndarray) -> np.ndarray:
+    """The keys of a set, one-deletions and empty segments included, that are in a bit table."""
+    keys = [np.concatenate([s.all_subsets(), s.deletions()]) for g, _ in groups_of(tokens, bands) for s in [Segments(tokens, g, bands.distance(g))]]
+    keys = np.unique(np.concatenate(keys)) if keys else np.empty(0, dtype=np.int64)
+    return keys[in_table(keys, table)]
+
+
+def in_table(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    slot = keys & (TABLE_BITS - 1)
+    return ((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def bit_tables(keys: DataFrame) -> dict[int, bytes]:
+    """Bit tables by level of (level, key); each has ``TABLE_BITS`` / 8 bytes whatever the number of keys."""
+    slot = F.col("key").bitwiseAND(F.lit(TABLE_BITS - 1))
+    rows = keys.groupBy("level", F.shiftright(slot, 15).alias("at")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(32767))).alias("bits")).collect()
+    tables: dict[int, bytearray] = {}
+    for r in rows:
+        tables.setdefault(r["level"], bytearray(TABLE_BITS // 8))[r["at"] * 4096:r["at"] * 4096 + 4096] = r["bits"]
+    return {level: bytes(t) for level, t in tables.items()}
 
 
 def odd_sketch(tokens: np.ndarray) -> np.ndarray:
@@ -118,43 +198,80 @@ def set_id(tokens: np.ndarray) -> int | None:
         return int(mix(mix(tokens, 21).sum(keepdims=True) + np.uint64(len(tokens)), 23).view(np.int64)[0])
 
 
-def sets(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, sid, sketch): set size, set hash (null for the empty set) and parity sketch."""
-    def start():
-        hashes = WordHashes()
-
-        def run(texts: list[str]) -> dict:
-            got = [token_set(t, n, hashes) for t in texts]
-            return {"n_shingles": [len(s) for s in got], "sid": [set_id(s) for s in got], "sketch": [odd_sketch(s) for s in got]}
-        return run
-
-    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return add_columns(docs, ["doc_id", "text_hash"], start, "n_shingles long, sid long, sketch array<long>")
-
-
-def index_keys(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(sid, keys): a set's index keys, the first time that a task meets it (in bounded memory: it may forget).
+def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, sid, sketch, own, need, below, short): set size, set hash (null for the empty set), parity sketch and ``signatures``.
 
-    Made from the texts again rather than stored with ``sets``: the keys are
-    the bulk, and their shuffle then holds the only copy.
+    A task gives the signatures of a set once (in bounded memory: it may forget).
     """
+    none = np.empty(0, dtype=np.int64)
+
     def start():
         hashes, bands, seen = WordHashes(), Bands(num, den), set()
 
-        def keys(tokens: np.ndarray, sid: int | None) -> np.ndarray | list:
+        def keys(tokens: np.ndarray, sid: int | None) -> tuple:
             if sid is None or sid in seen:
-                return []
+                return none, 0, none, none
             if len(seen) >= 200_000:
                 seen.clear()
             seen.add(sid)
             return signatures(tokens, bands)
 
         def run(texts: list[str]) -> dict:
-            got = [(s, set_id(s)) for s in (token_set(t, n, hashes) for t in texts)]
-            return {"sid": [i for _, i in got], "keys": [keys(s, i) for s, i in got]}
+            got = [token_set(t, n, hashes) for t in texts]
+            ids = [set_id(s) for s in got]
+            own, need, below, short = zip(*[keys(s, i) for s, i in zip(got, ids)]) if got else ((), (), (), ())
+            return {"n_shingles": [len(s) for s in got], "sid": ids, "sketch": [odd_sketch(s) for s in got], "own": own, "need": need, "below": below, "short": short}
         return run
 
-    return add_columns(docs, [], start, "sid long, keys array<long>")
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return add_columns(docs, ["doc_id", "text_hash"], start, "n_shingles long, sid long, sketch array<long>, own array<long>, need int, below array<long>, short array<long>")
+
+
+def index_lists(got: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(key, sid): the index lists that at least two sets share and one of them looks up."""
+    spark = docs.sparkSession
+    keyed = got.where(F.size("own") + F.size("below") > 0)
+    every = keyed.select(F.explode(F.concat("own", "below")).alias("key"))
+    counted = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    levels = F.filter(F.array(*[F.lit(x) for x in LEVELS]), lambda x: F.col("n") > x)
+    tables = spark.sparkContext.broadcast(bit_tables(counted.where(F.col("n") > LEVELS[0]).select("key", F.explode(levels).alias("level"))))
+
+    def allocate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = [np.frombuffer(t, dtype=np.uint8) for _, t in sorted(tables.value.items())]
+        for b in parts(batches, 512):
+            out: list[tuple[np.ndarray, int, np.ndarray]] = []
+            for sid, own, need, below in zip(b.column("sid").to_pylist(), b.column("own"), b.column("need").to_pylist(), b.column("below")):
+                own, below = (np.asarray(x.values, dtype=np.int64) for x in (own, below))
+                cost = sum((in_table(own, t).astype(np.int8) for t in bits), np.zeros(len(own), dtype=np.int8))
+                looked_up = np.zeros(len(own), dtype=bool)
+                looked_up[:1 if need == 1 else 0] = True
+                if need > 1:
+                    looked_up[np.argsort(cost, kind="stable")[:need]] = True
+                shared = cost > 0
+                more = below[in_table(below, bits[0])] if bits else below[:0]
+                out.append((np.concatenate([own[shared], more]), sid, np.concatenate([looked_up[shared], np.zeros(len(more), dtype=bool)])))
+            sizes = [len(k) for k, _, _ in out]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for k, _, _ in out])), pa.array(np.repeat(np.array([s for _, s, _ in out], dtype=np.int64), sizes)),
+                                              pa.array(np.concatenate([x for _, _, x in out]))], names=["key", "sid", "looks"])
+
+    rows = materialize(keyed.select("sid", "own", "need", "below").mapInArrow(allocate, "key long, sid long, looks boolean"), "join-keys")
+    short = got.where(F.size("short") > 0).select("sid", F.explode("short").alias("key"))
+    if not short.isEmpty():
+        table = spark.sparkContext.broadcast(bit_tables(short.select("key", F.lit(0).alias("level")))[0])
+
+        def start():
+            hashes, bands, bits = WordHashes(), Bands(num, den), np.frombuffer(table.value, dtype=np.uint8)
+
+            def run(texts: list[str]) -> dict:
+                made = [token_set(t, n, hashes) for t in texts]
+                return {"sid": [set_id(x) for x in made], "keys": [wanted_keys(x, bands, bits) if len(x) else [] for x in made]}
+            return run
+
+        met = add_columns(docs, [], start, "sid long, keys array<long>").select(F.explode("keys").alias("key"), "sid", F.lit(False).alias("looks"))
+        rows = materialize(rows.unionByName(short.select("key", "sid", F.lit(True).alias("looks"))).unionByName(met), "join-keys")
+    # a list is told by its least and greatest member, which aggregate partially; no task holds a list
+    alive = rows.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.max("looks").alias("looks")).where("lo != hi and looks").select(F.col("key").alias("_k"))
+    return materialize(rows.select("key", "sid").join(alive, F.col("key") == F.col("_k")).select("key", "sid").distinct(), "join-lists")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -241,8 +358,8 @@ def close_pairs(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Da
 def token_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """(sid, tokens) of the sets in ``pairs``, made from the texts of one row of each."""
     sids = pairs.select(F.col("a").alias("_s")).union(pairs.select("b")).distinct()
-    wanted = materialize(classes.join(sids, F.col("sid") == F.col("_s")).select("sid", F.col("class_id").alias("_id")), "join-wanted")
-    texts = docs.select("doc_id", "text").join(small(wanted), F.col("doc_id") == F.col("_id"))
+    wanted = materialize(classes.join(sids, F.col("sid") == F.col("_s")).select("sid", F.col("class_id").alias("_id"), F.col("class_hash").alias("_hash")), "join-wanted")
+    texts = docs.select("doc_id", "text").join(small(wanted), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
 
     def start():
         hashes = WordHashes()
@@ -252,7 +369,7 @@ def token_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int) ->
             return {"own": [set_id(x) for x in got], "tokens": [x.view(np.int64) for x in got]}
         return run
 
-    # an id may stand before several texts: the one that made the set counts, and once
+    # an id may stand before several equal texts: one of them counts
     tokens = materialize(add_columns(texts, ["sid"], start, "own long, tokens array<long>").where("own = sid").drop("own"), "join-tokens")
     return materialize(tokens.dropDuplicates(["sid"]), "join-tokens") if tokens.count() > wanted.count() else tokens
 
@@ -271,21 +388,18 @@ def small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, class_id, component_id) of every row.
+    """(doc_id, text_hash, n_shingles, class_id, component_id, root) of every row.
 
     class_id is the least doc_id with an equal set, component_id the least one
-    that links reach; both are the row's own id for the empty set.
+    that links reach; both are the row's own id for the empty set.  ``root``
+    tells components apart that have no id; it is null for the empty set.
     """
-    got = materialize(sets(docs, n), "join-sets")
+    made = materialize(sets(docs, n, num, den), "join-sets")
+    got = made.select("doc_id", "text_hash", "n_shingles", "sid", "sketch")
     classes = materialize(got.where("sid is not null").groupBy("sid").agg(
-        F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "join-classes")
-    # the keys are shuffled once: a sorted run of a key shows whether several sets share it
-    by_key = Window.partitionBy("key").orderBy("sid")
-    lists = materialize(
-        index_keys(docs, n, num, den).select("sid", F.explode("keys").alias("key"))
-        .select("key", "sid", F.lag("sid").over(by_key).alias("before"), F.first("sid").over(by_key).alias("lo"),
-                F.last("sid").over(by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("hi"))
-        .where("lo != hi and (before is null or before != sid)").select("key", "sid"), "join-lists")
+        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        .select("sid", F.col("least.id").alias("class_id"), F.col("least.hash").alias("class_hash"), "n", "sketch"), "join-classes")
+    lists = index_lists(made, docs, n, num, den)
 
     def verify(pairs: DataFrame) -> DataFrame:
         return verified(pairs, token_sets(docs, classes, pairs, n), num, den)
@@ -293,23 +407,39 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     root = components(link_classes(lists, classes.select("sid", "n", "sketch"), verify, num, den))
     named = classes.join(root, F.col("sid") == F.col("node"), "left").select("sid", "class_id", F.coalesce("root", "sid").alias("root"))
     least = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    named = named.join(least, "root").select(F.col("sid").alias("_s"), "class_id", "component_id")
+    named = named.join(least, "root").select(F.col("sid").alias("_s"), "class_id", "component_id", "root")
     return (got.join(named, F.col("sid") == F.col("_s"), "left")
-            .select("doc_id", "text_hash", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", "text_hash", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), "root"))
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs``, all columns, that have the least id of their component; of equal rows (id and text), one.
+    """The rows of ``docs``, all columns, of which one stays for each component, and one of rows equal in id and text.
 
-    Texts stay where they are: the ids to remove are broadcast while they are
-    few, and only ids that occur twice are compared as whole rows.
+    The row with the least id stays, rows without an id last, and of several
+    with that id the one with the least hash of its text.  Rows without words
+    have no component and stay.  Texts stay where they are: the rows to remove
+    are broadcast while they are few, and only ids that occur twice are
+    compared as whole rows.
     """
-    found = materialize(near_duplicates(docs, n, num, den).select("doc_id", "text_hash", "component_id"), "join-found")
-    key = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
-    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    gone = materialize(found.where("doc_id != component_id").select(*key).distinct(), "join-gone")
+    found = materialize(near_duplicates(docs, n, num, den).select("doc_id", "text_hash", "root"), "join-found")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("one")
+    stays = materialize(found.where(F.col("root").isNotNull()).groupBy("root").agg(one).select(F.col("root").alias("_root"), "one.id", "one.hash"), "join-stays")
+    i, h = unused("_id", docs.columns), unused("_hash", docs.columns)
+    key = [F.col("doc_id").alias(i), F.col("text_hash").alias(h)]
+    same = docs["doc_id"].eqNullSafe(F.col(i)) & (F.xxhash64(docs["text"]) == F.col(h))
+    others = ~(F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
+    gone = materialize(found.join(stays, F.col("root") == F.col("_root")).where(others).select(*key).distinct(), "join-gone")
     kept = docs.join(small(gone), same, "left_anti")
-    twice = materialize(found.where("doc_id = component_id").groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "join-twice")
+    twice = materialize(found.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "join-twice")
+    twice = materialize(twice.join(gone, twice[i].eqNullSafe(gone[i]) & (twice[h] == gone[h]), "left_anti"), "join-twice")
     if twice.isEmpty():
         return kept
     return kept.join(small(twice), same, "left_anti").unionByName(kept.join(small(twice), same, "left_semi").dropDuplicates(["doc_id", "text"]))
