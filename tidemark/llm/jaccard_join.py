@@ -62,6 +62,8 @@ SKETCH = 1024
 BROADCAST_ROWS = 500_000
 #: Index lists over this size are compared in blocks.
 LARGE_LIST = 32
+#: Further hubs tried in large lists.
+HUBS = 2
 #: List sizes that the allocation tells apart, and the bits of each size's table (8 MB).
 LEVELS, TABLE_BITS = (1, 8, 64), 1 << 26
 
@@ -312,6 +314,25 @@ def link_classes(lists: DataFrame, classes: DataFrame, verify: Callable[[DataFra
     star = materialize(verify(materialize(close_pairs(pairs, classes, num, den), "join-near")), "join-star")
     root = components(star)
 
+    # large lists: other members as hubs, so that few are left to be compared in blocks
+    sized = lists.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LARGE_LIST).select(F.col("key").alias("_k"))
+    large = materialize(lists.join(sized, F.col("key") == F.col("_k")).join(hubs.select(F.col("key").alias("_h"), "hub"), F.col("key") == F.col("_h")).select("key", "sid", "hub"), "join-large")
+    for turn in range(HUBS):
+        if large.isEmpty():
+            break
+        at, main = root.select(F.col("node").alias("_n"), "root"), root.select(F.col("node").alias("_m"), F.col("root").alias("main"))
+        placed = (large.join(at, F.col("sid") == F.col("_n"), "left").join(main, F.col("hub") == F.col("_m"), "left")
+                  .select("key", "sid", F.coalesce("root", "sid").alias("root"), F.coalesce("main", "hub").alias("main")))
+        placed = materialize(placed, "join-placed")
+        second = placed.where("root != main").groupBy("key").agg(F.max_by(F.struct("sid", "root"), F.xxhash64(F.lit(turn), "sid")).alias("_second"))
+        pairs = (placed.join(second.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k")).where(F.col("root") != F.col("_second.root"))
+                 .select(F.least("sid", "_second.sid").alias("a"), F.greatest("sid", "_second.sid").alias("b")).distinct())
+        more = materialize(verify(materialize(close_pairs(pairs, classes, num, den), "join-near")), "join-star")
+        if more.isEmpty():
+            break
+        star = star.union(more)
+        root = components(star)
+
     # lists with several components: members outside the hub's against all others, in large lists by blocks
     named = (lists.join(root, F.col("sid") == F.col("node"), "left").select("key", "sid", F.coalesce("root", "sid").alias("root")))
     hub_root = hubs.join(root, F.col("hub") == F.col("node"), "left").select(F.col("key").alias("_k"), F.coalesce("root", "hub").alias("main"))
