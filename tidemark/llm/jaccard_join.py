@@ -3,7 +3,7 @@
 A document's set is its distinct word n-grams, as 64-bit hashes.  Sets fall
 into size bands so that a linked pair lies in one band or two adjacent ones;
 each band bounds the symmetric difference of a linked pair by k.  Tokens are
-hashed into about 1.5 k segments.  A segment may be skipped (it counts 0),
+hashed into about 1.25 k segments.  A segment may be skipped (it counts 0),
 indexed by the hash of its subset (1: the pair may not differ there) or by its
 one-deletion neighbourhood (2: the pair may differ there by one token); if the
 counts of a set's segments exceed k, every set linked with it meets it at
@@ -66,6 +66,8 @@ LARGE_LIST = 32
 HUBS = 2
 #: List sizes that the allocation tells apart, and the bits of each size's table (8 MB).
 LEVELS, TABLE_BITS = (1, 8, 64), 1 << 26
+#: Bits of an index key; equal keys of unlike subsets cost a comparison.
+KEY_BITS = 48
 
 
 class Bands:
@@ -93,7 +95,7 @@ def token_set(text: str, n: int, hashes: WordHashes) -> np.ndarray:
 
 def segments_of(distance: int) -> int:
     """Segments of a band whose linked pairs differ by ``distance`` tokens at most."""
-    return 1 if distance == 1 else distance + (distance + 1) // 2 + 9
+    return 1 if distance == 1 else distance + distance // 4 + 9
 
 
 class Segments:
@@ -111,7 +113,7 @@ class Segments:
 
     def key(self, segment: np.ndarray, total: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return mix(total ^ mix(segment.astype(np.uint64) + self.mark, 3), 5).view(np.int64)
+            return (mix(total ^ mix(segment.astype(np.uint64) + self.mark, 3), 5) >> np.uint64(64 - KEY_BITS)).view(np.int64)
 
     def subsets(self) -> np.ndarray:
         """Keys of the filled segments."""
@@ -201,7 +203,7 @@ def set_id(tokens: np.ndarray) -> int | None:
 
 
 def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, sid, sketch, own, need, below, short): set size, set hash (null for the empty set), parity sketch and ``signatures``.
+    """(doc_id, text_hash, n_shingles, sid, sketch, own, need, below, short, n_keys): set size, set hash (null for the empty set), parity sketch, ``signatures`` and their number.
 
     A task gives the signatures of a set once (in bounded memory: it may forget).
     """
@@ -222,17 +224,24 @@ def sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
             got = [token_set(t, n, hashes) for t in texts]
             ids = [set_id(s) for s in got]
             own, need, below, short = zip(*[keys(s, i) for s, i in zip(got, ids)]) if got else ((), (), (), ())
-            return {"n_shingles": [len(s) for s in got], "sid": ids, "sketch": [odd_sketch(s) for s in got], "own": own, "need": need, "below": below, "short": short}
+            return {"n_shingles": [len(s) for s in got], "sid": ids, "sketch": [odd_sketch(s) for s in got], "own": own, "need": need, "below": below, "short": short,
+                    "n_keys": [len(x) + len(y) for x, y in zip(own, below)]}
         return run
 
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return add_columns(docs, ["doc_id", "text_hash"], start, "n_shingles long, sid long, sketch array<long>, own array<long>, need int, below array<long>, short array<long>")
+    return add_columns(docs, ["doc_id", "text_hash"], start, "n_shingles long, sid long, sketch array<long>, own array<long>, need int, below array<long>, short array<long>, n_keys int")
 
 
 def index_lists(got: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(key, sid): the index lists that at least two sets share and one of them looks up."""
     spark = docs.sparkSession
-    keyed = got.where(F.size("own") + F.size("below") > 0)
+    # one row a set, the least that has its keys: the others are told by id and text, and few enough to be broadcast or shuffled without their keys
+    holders = got.where("n_keys > 0").select("sid", "doc_id", "text_hash")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("least")
+    first = holders.groupBy("sid").agg(F.count(F.lit(1)).alias("n"), least).where("n > 1").select(F.col("sid").alias("_s"), F.col("least.id").alias("_id"), F.col("least.hash").alias("_hash"))
+    others = holders.join(first, F.col("sid") == F.col("_s")).where(~(F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))))
+    others = materialize(others.select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).distinct(), "join-again")
+    keyed = got.where("n_keys > 0").join(small(others), F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("text_hash") == F.col("_h")), "left_anti")
     every = keyed.select(F.explode(F.concat("own", "below")).alias("key"))
     counted = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     levels = F.filter(F.array(*[F.lit(x) for x in LEVELS]), lambda x: F.col("n") > x)
