@@ -16,13 +16,16 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordering import number_in_groups
 from tidemark.session import materialize, scratch_path
 
 #: Fixed for the life of a data set: records are never rehashed.
 SLOTS = 4096
+#: Difference between the heaviest and the lightest shard, as a share of an equal one, up to which slots stay where they are.
+SPREAD = 0.01
 
 
 def virtual_slot(doc_id: Column, crc: Column, slots: int = SLOTS) -> Column:
@@ -47,36 +50,62 @@ def even_map(slots: int, shards: int) -> list[int]:
     return [s * shards // slots for s in range(slots)]
 
 
-def rebalance(slot_map: list[int], weight: dict[int, int], shards: int) -> list[int]:
+def rebalance(slot_map: list[int], weight: dict[int, int], shards: int, spread: float = SPREAD) -> list[int]:
     """The next version of ``slot_map`` with shard weights near equal.
 
-    Shards that hold more than an equal share give up slots, heaviest first,
-    until they fit; given-up slots go, heaviest first, to the lightest shard.
-    Slots that need not move stay.  Works on a few thousand slots, whatever
-    the number of records.
+    A shard above an equal share gives up slots, heaviest first, as long as it
+    stays at the share or above; what is given up goes, heaviest first, to the
+    lightest shard, so new shards fill up first.  Where weights then still
+    differ by more than ``spread`` of a share, slots move on between the
+    heaviest and the lightest shard, the one nearest to half their difference
+    first.  Other slots stay.  Works on a few thousand slots, whatever the
+    number of records.
     """
-    total = sum(weight.values())
-    share = total / shards if shards else 0
-    load, held, free = [0] * shards, [[] for _ in range(shards)], []
+    share = sum(weight.values()) / shards if shards else 0
+    load, held, free = [0] * shards, [set() for _ in range(shards)], []
     for slot, shard in enumerate(slot_map):
         if shard < shards:
             load[shard] += weight.get(slot, 0)
-            held[shard].append(slot)
+            held[shard].add(slot)
         else:
             free.append(slot)
+
+    def heaviest_first(slots: Iterable[int]) -> list[int]:
+        return sorted(slots, key=lambda s: (-weight.get(s, 0), s))
+
     for shard in range(shards):
-        for slot in sorted(held[shard], key=lambda s: (-weight.get(s, 0), s)):
+        for slot in heaviest_first(held[shard]):
             w = weight.get(slot, 0)
-            if w and load[shard] > share:
+            if w and load[shard] - w >= share:
                 load[shard] -= w
+                held[shard].remove(slot)
                 free.append(slot)
-    out = list(slot_map)
     heap = [(w, shard) for shard, w in enumerate(load)]
     heapq.heapify(heap)
-    for slot in sorted(free, key=lambda s: (-weight.get(s, 0), s)):
+    for slot in heaviest_first(free):
         w, shard = heapq.heappop(heap)
-        out[slot] = shard
-        heapq.heappush(heap, (w + weight.get(slot, 0), shard))
+        held[shard].add(slot)
+        load[shard] = w + weight.get(slot, 0)
+        heapq.heappush(heap, (load[shard], shard))
+    giving = set(range(shards))  # shards with a slot light enough to move on
+    while giving:
+        top, low = max(giving, key=lambda s: (load[s], -s)), min(range(shards), key=lambda s: (load[s], s))
+        gap = load[top] - load[low]
+        if gap <= spread * share:
+            break
+        light = [s for s in held[top] if 0 < weight.get(s, 0) < gap]
+        if not light:
+            giving.remove(top)
+            continue
+        slot = min(light, key=lambda s: (abs(2 * weight[s] - gap), s))
+        held[top].remove(slot)
+        held[low].add(slot)
+        load[top] -= weight[slot]
+        load[low] += weight[slot]
+    out = list(slot_map)
+    for shard, slots in enumerate(held):
+        for slot in slots:
+            out[slot] = shard
     return out
 
 
@@ -95,12 +124,13 @@ def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS, map_p
 
     Version 0 of the map is even; version 1 is edited by the bytes of each
     slot, and it is the one read back and applied.  Positions come from the
-    slots' row counts plus a row number inside the slot, so no shard is ever
-    sorted as a whole.
+    slots' row counts plus a row number inside the slot, counted over range
+    partitions that cut a slot where one id holds many rows: neither a shard
+    nor a slot is ever sorted as a whole.
     """
     spark = docs.sparkSession
     path = map_path or scratch_path(spark, "slot-map")
-    recs = materialize(records(docs, slots), "shard-records")
+    recs = materialize(records(docs, slots).withColumn("_row", F.monotonically_increasing_id()), "shard-records")
     totals = {r["virtual_slot"]: (r["bytes"], r["rows"]) for r in slot_totals(recs).collect()}  # at most ``slots`` rows
     write_map(spark, path, 0, even_map(slots, shards))
     first = [r["shard"] for r in read_map(spark, path, 0).orderBy("virtual_slot").collect()]
@@ -112,7 +142,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS, map_p
         at[shard] += totals.get(slot, (0, 0))[1]
     offsets = spark.createDataFrame(starts, "virtual_slot int, start long")
     located = F.broadcast(read_map(spark, path, 1).join(offsets, "virtual_slot"))  # ``slots`` rows
-    in_slot = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
-    return (recs.withColumn("_n", F.row_number().over(in_slot) - 1).join(located, "virtual_slot")
-            .select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("_n")).cast("long").alias("slot"),
+    numbered = number_in_groups(recs, ["virtual_slot"], ["doc_id", "text_crc32", "size", "_row"], "_n", group_bound=slots)
+    return (numbered.join(located, "virtual_slot")
+            .select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("_n") - 1).cast("long").alias("slot"),
                     "virtual_slot"))
