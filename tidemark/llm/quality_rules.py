@@ -5,10 +5,10 @@ decoding of a linear-chain conditional random field; a document is kept if its
 counts pass and content lines hold at least ``MIN_CONTENT`` of its words.
 
 The CRF is trained on a bounded sample of labelled documents
-(``TRAIN_DOCUMENTS`` rows, ``TRAIN_LINES`` lines of each, from longer ones in runs
-spread over the whole document): lines of good documents count as content,
-lines of bad ones as boilerplate, and weights are pulled towards ``PRIOR``,
-which also serves where there are no labels.  Scoring reads whole texts.
+(``TRAIN_DOCUMENTS`` rows, all lines of each, in batches of sequences of like
+length): lines of good documents count as content, lines of bad ones as
+boilerplate, and weights are pulled towards ``PRIOR``, which also serves where
+there are no labels.  Scoring reads whole texts.
 
 Edge cases: null or empty text has no words and fails the base rules; very
 long texts are processed whole; repeated rows are judged alike; an empty table
@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame
 from .common import add_columns, keep_rows, labelled_sample, windows
 
 TRAIN_DOCUMENTS = 3000
-TRAIN_LINES = 200
-#: Runs of consecutive lines that a longer document is sampled by.
+#: Runs of consecutive lines that a document is sampled by where a caller of ``fit`` bounds its lines.
 TRAIN_RUNS = 4
+#: Lines, with those that fill up shorter sequences, of one training batch.
+BATCH_LINES = 1 << 16
 MIN_CONTENT = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -82,41 +83,50 @@ def viterbi(scores: np.ndarray, stay: float) -> np.ndarray:
     return out
 
 
+def batches(sequences: list[tuple[np.ndarray, int]], lines: int = BATCH_LINES) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(features, labels, which lines there are) of sequences of like length, filled up to the longest of the batch."""
+    out, rest = [], sorted(sequences, key=lambda s: len(s[0]))
+    while rest:
+        longest = len(rest[-1][0])
+        group = rest[-max(1, lines // longest):]
+        del rest[-len(group):]
+        x = np.zeros((len(group), longest, len(FEATURES)))
+        for i, (f, _) in enumerate(group):
+            x[i, :len(f)] = f
+        on = np.arange(longest)[None, :] < np.array([len(f) for f, _ in group])[:, None]
+        out.append((x, np.array([float(label) for _, label in group])[:, None], on))
+    return out
+
+
+def expected(x: np.ndarray, y: np.ndarray, on: np.ndarray, w: np.ndarray, stay: float) -> tuple[np.ndarray, float]:
+    """Gradient of the likelihood for the weights and for ``stay`` over one batch: forward and backward sums in log space, both labels, all sequences at once."""
+    n, longest = on.shape
+    s = x @ w
+    fb, fg = np.zeros((n, longest)), np.zeros((n, longest))
+    bb, bg = np.zeros((n, longest)), np.zeros((n, longest))
+    fg[:, 0] = s[:, 0]
+    for t in range(1, longest):
+        fb[:, t] = np.where(on[:, t], np.logaddexp(fb[:, t - 1] + stay, fg[:, t - 1]), fb[:, t - 1])
+        fg[:, t] = np.where(on[:, t], np.logaddexp(fg[:, t - 1] + stay, fb[:, t - 1]) + s[:, t], fg[:, t - 1])
+    for t in range(longest - 2, -1, -1):
+        nb, ng = bb[:, t + 1], bg[:, t + 1] + s[:, t + 1]
+        bb[:, t] = np.where(on[:, t + 1], np.logaddexp(nb + stay, ng), 0)
+        bg[:, t] = np.where(on[:, t + 1], np.logaddexp(ng + stay, nb), 0)
+    z = np.logaddexp(fb[:, -1], fg[:, -1])[:, None]
+    p_good = np.exp(np.clip(fg + bg - z, -50, 0)) * on
+    same = np.exp(np.clip(fb[:, :-1] + stay + bb[:, 1:] - z, -50, 0)) + np.exp(np.clip(fg[:, :-1] + stay + s[:, 1:] + bg[:, 1:] - z, -50, 0))
+    return ((y * on - p_good)[:, :, None] * x).sum((0, 1)), float(((1 - same) * on[:, 1:]).sum())
+
+
 def train(sequences: list[tuple[np.ndarray, int]], steps: int = 60, rate: float = 0.5, pull: float = 0.02) -> tuple[np.ndarray, float]:
     """Weights and ``stay`` by gradient ascent on the CRF's likelihood, pulled towards the prior."""
     w, stay = PRIOR.copy(), PRIOR_STAY
-    lengths = np.array([len(f) for f, _ in sequences])
-    if not len(sequences) or not lengths.max():
-        return w, stay
-    sequences = [s for s in sequences if len(s[0])]
-    lengths = np.array([len(f) for f, _ in sequences])
-    longest, n = int(lengths.max()), len(sequences)
-    x = np.zeros((n, longest, len(FEATURES)))
-    for i, (f, _) in enumerate(sequences):
-        x[i, :len(f)] = f
-    y = np.array([float(label) for _, label in sequences])[:, None]
-    on = np.arange(longest)[None, :] < lengths[:, None]
-    pairs = on[:, 1:]
-    total = on.sum()
-    for _ in range(steps):
-        s = x @ w
-        # forward and backward sums in log space, both labels, all sequences at once
-        fb, fg = np.zeros((n, longest)), np.zeros((n, longest))
-        bb, bg = np.zeros((n, longest)), np.zeros((n, longest))
-        fg[:, 0] = s[:, 0]
-        for t in range(1, longest):
-            fb[:, t] = np.where(on[:, t], np.logaddexp(fb[:, t - 1] + stay, fg[:, t - 1]), fb[:, t - 1])
-            fg[:, t] = np.where(on[:, t], np.logaddexp(fg[:, t - 1] + stay, fb[:, t - 1]) + s[:, t], fg[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            nb, ng = bb[:, t + 1], bg[:, t + 1] + s[:, t + 1]
-            bb[:, t] = np.where(on[:, t + 1], np.logaddexp(nb + stay, ng), 0)
-            bg[:, t] = np.where(on[:, t + 1], np.logaddexp(ng + stay, nb), 0)
-        z = np.logaddexp(fb[:, -1], fg[:, -1])[:, None]
-        p_good = np.exp(np.clip(fg + bg - z, -50, 0)) * on
-        same = np.exp(np.clip(fb[:, :-1] + stay + bb[:, 1:] - z, -50, 0)) + np.exp(np.clip(fg[:, :-1] + stay + s[:, 1:] + bg[:, 1:] - z, -50, 0))
-        grad = ((y * on - p_good)[:, :, None] * x).sum((0, 1)) / total
-        w = w + rate * (grad * 10 - pull * (w - PRIOR))
-        stay += rate * (float(((1 - same) * pairs).sum() / total) - pull * (stay - PRIOR_STAY))
+    made = batches([s for s in sequences if len(s[0])])
+    total = sum(int(on.sum()) for _, _, on in made)
+    for _ in range(steps if total else 0):
+        grads = [expected(*batch, w, stay) for batch in made]
+        w = w + rate * (sum(g for g, _ in grads) / total * 10 - pull * (w - PRIOR))
+        stay += rate * (sum(g for _, g in grads) / total - pull * (stay - PRIOR_STAY))
     return w, min(stay, 2.0)
 
 
@@ -131,16 +141,19 @@ def runs(text: str, n: int, lines: int) -> list[tuple[int, int]]:
     return [(s, s + size) for s in starts]
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS, lines: int = TRAIN_LINES) -> tuple[np.ndarray, float]:
-    """Train on a bounded sample; features are made in tasks, at most ``lines`` lines a document return, each run as its own sequence."""
+def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS, lines: int | None = None) -> tuple[np.ndarray, float]:
+    """Train on at most ``limit`` whole documents; with ``lines``, on as many lines of each, in runs that are sequences of their own.
+
+    Features are made in tasks and come back as packed 64-bit floats.
+    """
     def start():
         def run(texts: list[str]) -> dict:
             got = [(t, line_features(t)[0]) for t in texts]
-            return {"f": [[f[a:b].ravel() for a, b in runs(t, len(f), lines)] for t, f in got]}
+            return {"f": [[f[a:b].tobytes() for a, b in (runs(t, len(f), lines) if lines else [(0, len(f))])] for t, f in got]}
         return run
 
-    got = add_columns(labelled_sample(docs, labels, "quality", limit), ["doc_id", "y"], start, "f array<array<double>>").collect()
-    return train([(np.array(f).reshape(-1, len(FEATURES)), r["y"]) for r in sorted(got, key=lambda r: r["doc_id"]) for f in r["f"]])
+    got = add_columns(labelled_sample(docs, labels, "quality", limit), ["doc_id", "y"], start, "f array<binary>").collect()
+    return train([(np.frombuffer(f).reshape(-1, len(FEATURES)), r["y"]) for r in sorted(got, key=lambda r: r["doc_id"]) for f in r["f"]])
 
 
 def counts(text: str) -> tuple[int, int, int, int, int]:
