@@ -222,6 +222,17 @@ def test_crf_learns_from_all_of_a_long_document(spark, documents):
     assert learned > blind + 0.1
 
 
+def test_crf_batches_of_like_length_train_as_one():
+    rnd = np.random.default_rng(5)
+    rows = [(rnd.normal(size=(int(n), len(quality_rules.FEATURES))), i % 2) for i, n in enumerate([*rnd.integers(0, 40, 30), 1, 300])]
+    made = quality_rules.batches([r for r in rows if len(r[0])], 120)
+    assert len(made) > 3 and sum(int(on.sum()) for _, _, on in made) == sum(len(f) for f, _ in rows)
+    whole = quality_rules.batches([r for r in rows if len(r[0])], 10 ** 6)
+    w, stay = quality_rules.PRIOR, 0.3
+    one, many = quality_rules.expected(*whole[0], w, stay), [quality_rules.expected(*b, w, stay) for b in made]
+    assert len(whole) == 1 and one[1] == pytest.approx(sum(g for _, g in many)) and np.allclose(one[0], sum(g for g, _ in many))
+
+
 def test_crf_training_raises_the_weight_of_what_marks_good_lines():
     good, bad = np.zeros((4, len(quality_rules.FEATURES))), np.zeros((4, len(quality_rules.FEATURES)))
     good[:, 0] = bad[:, 0] = 1
@@ -249,16 +260,73 @@ def test_toxicity_on_held_out_rows(tables):
     assert accuracy(toxicity.score(docs, toxicity.fit(docs, labels)), labels, "toxic") >= 0.9
 
 
+def test_toxicity_without_seeds_learns_from_the_labels_alone(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels, seeds=())).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    rows = scored.select("predicted", "toxic").collect()
+    hit = sum(r.predicted and r.toxic for r in rows)
+    assert hit >= 0.9 * sum(r.toxic for r in rows) and hit >= 0.9 * sum(r.predicted for r in rows)
+
+
 def test_grammar_scores_clauses(documents):
     g = toxicity.Grammar({"zzap*": 1.0}, toxicity.PRIOR)
-    plain, negated, reported, threat, learned = map(g.score, ("you are an idiot.", "he is not an idiot.", "they said idiot.", "I will kill you.", "zzapfoo"))
+    plain, negated, reported, threat, learned = map(g.score, ("you are an idiot.", "he is not an idiot.", "they said idiot.", "I will kill you.", "you zzapfoo"))
     assert plain > 0.5 > negated and reported < 0.5 and learned > 0.5
+    # isolated words are no match, two of them are
+    for lone in ("zzapfoo", "The trash is picked up on Monday.", "The clown made the children laugh.", "nobody is an idiot", "destroy the files, they said"):
+        assert g.score(lone) < toxicity.THRESHOLD
+    assert g.score("zzapfoo. Zzapbar!") > toxicity.THRESHOLD
     assert threat > g.score("I will kill time.") == g.score("") == g.score("Good day.")
     rows = toxicity.score(documents(ODD), g).collect()
     assert len(rows) == len(ODD) and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score(documents([]), g).count() == 0
 
 
+def test_composed_grammar_equals_its_transducers_one_after_another():
+    rnd, table = random.Random(11), toxicity.numbered(toxicity.GRAMMAR)
+    for _ in range(300):
+        symbols = [rnd.choice(toxicity.CLASSES) for _ in range(rnd.randint(0, 40))]
+        tape = symbols
+        for m in toxicity.MACHINES:
+            state, out = m.start, []
+            for x in tape:
+                state, y = m.arcs[state, x]
+                out.append(y)
+            tape = out
+        state, composed = 0, []
+        for x in symbols:
+            state, y = table[state][x]
+            composed.append(y)
+        assert composed == tape
+
+
+def brute_features(words):
+    """Matches of one clause of (class, weight), by looking at all of it at once."""
+    kinds = [k for k, _ in words]
+    negated = [toxicity.NEGATION in kinds[max(0, i - toxicity.NEGATION_REACH):i] for i in range(len(kinds))]
+    aimed = [i for i, k in enumerate(kinds) if k == toxicity.TARGET]
+    reported = toxicity.REPORT in kinds
+    out = [0.0] * len(toxicity.EMITS)
+    for i, (k, w) in enumerate(words):
+        if k == toxicity.INSULT:
+            out[3 if reported else 2 if negated[i] else 1 if aimed else 0] += w
+        elif k == toxicity.THREAT and not negated[i] and not reported and any(not negated[j] for j in aimed):
+            out[4] += 1
+    return out
+
+
+def test_features_equal_brute_force():
+    g = toxicity.Grammar({"zzap*": 1.5}, toxicity.PRIOR)
+    words = {toxicity.OTHER: "table", toxicity.INSULT: "zzapfoo", toxicity.THREAT: "kill", toxicity.TARGET: "you", toxicity.NEGATION: "not", toxicity.REPORT: "said"}
+    rnd = random.Random(12)
+    for _ in range(500):
+        clauses = [[rnd.choice(list(words)) for _ in range(rnd.randint(0, 9))] for _ in range(rnd.randint(0, 5))]
+        found = [brute_features([(k, 1.5) for k in c]) for c in clauses]
+        sums = [sum(f[i] for f in found) for i in range(len(toxicity.EMITS))]
+        sums[0] = max(0.0, sums[0] - 1.5)
+        assert g.features(". ".join(" ".join(words[k] for k in c) for c in clauses)) == pytest.approx([np.log1p(x) for x in sums])
+
+
 def test_one_direct_threat_rejects_a_document(documents):
     texts = ["I will kill you.", "I will kill every one of you", "you there, tomorrow I shall kill", "fine day. Ich werde euch alle morgen umbringen!",
              "I will not kill you.", "They said I will kill you.", "I will kill time. You wait.", "You wait\nand kill time"]
