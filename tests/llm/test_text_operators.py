@@ -401,6 +401,27 @@ def test_wand_retrieves_what_full_scoring_does(spark, documents):
         assert [k for k, _ in sorted(index.retrieve(query))] == want
 
 
+def test_block_maxima_skip_what_cannot_reach():
+    rnd = random.Random(6)
+    vocabulary = [f"v{min(rnd.randrange(2000), rnd.randrange(2000))}" for _ in range(4000)]
+    text = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    items = [(k, f"{text(rnd.randint(10, 50))}. {text(5)}") for k in range(200)]
+    index = decontaminate.Index(items)
+    assert all(0 < b - a <= decontaminate.BLOCK for a, b in index.entry_place)
+    opened, wand = [], index.wand
+    index.wand = lambda cursors: opened.append(len(cursors)) or wand(cursors)
+    postings = own = 0
+    for k in range(200):
+        own += len(set(decontaminate.words(items[k][1])))  # the postings of the item itself have to be added up
+        query = sorted({index.terms[w] for w in decontaminate.words(f"{items[k][1]} {text(30)}") if w in index.terms})
+        postings += sum(len(index.postings[t]) for t in query)
+        assert k in [index.items[m][0] for m, _ in index.retrieve(query)]
+    assert len(opened) < 200 * len(index.block_half) / 5 and own <= index.scored < 1.1 * own < postings / 10
+    # far from every item no block is opened and no posting is read
+    index.scored = 0
+    assert index.retrieve(sorted(index.terms[w] for w in sorted(index.terms)[:3])) == [] and index.scored == 0
+
+
 def test_planted_items_are_found_and_clean_documents_left_alone(spark, documents):
     rnd = random.Random(3)
     item = lambda: " ".join(f"q{rnd.randrange(3000)}" for _ in range(25)) + ". The answer is " + " ".join(f"a{rnd.randrange(3000)}" for _ in range(5)) + "."

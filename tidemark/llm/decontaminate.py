@@ -1,11 +1,15 @@
 """Benchmark decontamination: BM25 with block-max WAND over the test items.
 
 The inverted index holds the test items (not the corpus): postings per term in
-item order, cut into blocks that carry their largest BM25 impact.  Items are
-classed by length, up to the next power of two; every passage of every training
-text (windows twice as long as the class, by half a window) is a query for the
-items of its class; all that reach ``SHARE`` of their own self-score are
-retrieved, then question and answer overlap is verified.  The index is broadcast
+item order, cut into blocks of ``BLOCK`` items that carry the largest BM25 impact
+in them, as a share of what its item needs.  Items are classed by length, up to
+the next power of two; every passage of every training text (windows twice as
+long as the class, by half a window) is a query for the items of its class; all
+that reach ``SHARE`` of their own self-score are retrieved, then question and
+answer overlap is verified.  Block maxima alone decide what is skipped: a block
+whose maxima do not add up to what an item needs is never opened, nor is a
+passage without an open block; in an open block the pivot moves by the same
+maxima, and only postings of items that it stops at are added up.  The index is broadcast
 in parts of about ``PART_BYTES`` of item text, so its size per task is bounded
 whatever the benchmark's size.  Item count, mean length and document frequencies
 are those of the whole benchmark, and sums are rounded once, so an item's scores
@@ -38,7 +42,10 @@ K1, B = 1.2, 0.5
 SHARE = 0.5
 #: Share of the question's and of the answer's word triples that must occur in the passage.
 OVERLAP = 0.5
-BLOCK = 16
+#: Items of a block of the index.
+BLOCK = 4
+#: Sum of bounds, in shares of what an item needs, that an item must reach; bounds are plain sums.
+REACHED = 1 - 1e-9
 #: Passages that are ruled out together, if their words as one query reach no item.
 STRETCH = 8
 PART_BYTES = 2_000_000
@@ -89,13 +96,16 @@ class Index:
         lengths = [len(w) for _, w, _ in self.items]
         n = len(self.items) if n is None else n
         mean = max(1.0, sum(lengths) / max(1, len(lengths)) if mean is None else mean)
+        order = sorted(range(len(self.items)), key=lambda k: half_window(lengths[k]))  # a block holds items of one class
+        self.items, lengths = [self.items[k] for k in order], [lengths[k] for k in order]
+        self.halves = np.array([half_window(x) for x in lengths], dtype=np.int64)
+        self.half = int(self.halves.max(initial=1))
         found = defaultdict(list)
         for k, (_, ws, _) in enumerate(self.items):
             for t, tf in Counter(ws).items():
                 found[t].append((k, tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[k] / mean))))
         self.terms: dict[bytes, int] = {}
         self.postings: list[list[tuple[int, float]]] = []
-        self.blocks: list[list[tuple[int, float]]] = []  # (last item, largest impact) of each block
         own: list[list[float]] = [[] for _ in self.items]
         for t, posting in found.items():
             seen = len(posting) if df is None else df[t]
@@ -103,83 +113,99 @@ class Index:
             posting = [(k, idf * x) for k, x in posting]
             self.terms[t] = len(self.postings)
             self.postings.append(posting)
-            self.blocks.append([(posting[min(j + BLOCK, len(posting)) - 1][0], max(x for _, x in posting[j:j + BLOCK])) for j in range(0, len(posting), BLOCK)])
             for k, x in posting:
                 own[k].append(x)
         self.self_score = [math.fsum(x) for x in own]
         self.needed = [SHARE * s if s > 0 else math.inf for s in self.self_score]
-        self.floor = np.array(self.needed) - 1e-9
-        self.least = min(self.needed, default=math.inf) - 1e-9  # bounds are plain sums
-        flat = [x for posting in self.postings for x in posting]
-        self.flat_item = np.array([k for k, _ in flat], dtype=np.int64)
-        self.flat_impact = np.array([x for _, x in flat])
-        self.size = np.array([len(posting) for posting in self.postings], dtype=np.int64)
-        self.start = np.cumsum(self.size) - self.size
-        self.top = np.array([max(x for _, x in b) for b in self.blocks] + [0.0])  # last: not a term
-        self.halves = np.array([half_window(x) for x in lengths], dtype=np.int64)
-        self.half = int(self.halves.max(initial=1))
+        self.block_of, self.block_half = self.cut_blocks()
+        self.index_blocks()
         self.parts = [(grams(q), grams(a)) for _, _, (q, a) in self.items]
+        self.scored = 0  # postings that retrieve has added up
+
+    def cut_blocks(self) -> tuple[list[int], np.ndarray]:
+        """(block of each item, length class of each block): runs of at most ``BLOCK`` items of one class."""
+        of, half, held = [], [], 0
+        for h in self.halves.tolist():
+            if not half or half[-1] != h or held == BLOCK:
+                half.append(h)
+                held = 0
+            held += 1
+            of.append(len(half) - 1)
+        return of, np.array(half, dtype=np.int64)
+
+    def index_blocks(self) -> None:
+        """Per term the blocks that hold it: the largest share of its need that it brings an item there, and where its postings lie."""
+        block, top, place, start = [], [], [], [0]
+        for posting in self.postings:
+            shares = [(k, x / self.needed[k]) for k, x in posting]
+            j = 0
+            while j < len(shares):
+                i, b = j, self.block_of[shares[j][0]]
+                while j < len(shares) and self.block_of[shares[j][0]] == b:
+                    j += 1
+                block.append(b)
+                top.append(max(x for _, x in shares[i:j]))
+                place.append((i, j))
+            start.append(len(block))
+        self.entry_block, self.entry_top, self.entry_place = np.array(block, dtype=np.int64), np.array(top), place
+        self.start = np.array(start[:-1], dtype=np.int64)
+        self.size = np.diff(np.array(start, dtype=np.int64))
+
+    def entries(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(entries of the terms, blocks whose sum of maxima reaches what an item needs): postings are not read."""
+        n = self.size[terms]
+        at = np.repeat(self.start[terms] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        bound = np.bincount(self.entry_block[at], self.entry_top[at], minlength=len(self.block_half))
+        return at, np.flatnonzero(bound >= REACHED)
 
-    def retrieve(self, query: list[int]) -> list[tuple[int, float]]:
-        """All items whose score for the distinct terms ``query`` reaches what they need (block-max WAND)."""
-        at = {t: 0 for t in query}
+    def reachable(self, terms: np.ndarray) -> np.ndarray:
+        """Length classes of the blocks that these distinct terms could reach; bounds every query over a part of them."""
+        return self.block_half[self.entries(terms)[1]]
+
+    def retrieve(self, query: list[int], half: int | None = None) -> list[tuple[int, float]]:
+        """All items (of class ``half``, if given) whose score for the distinct terms ``query`` reaches what they need (block-max WAND)."""
+        terms = np.array(query, dtype=np.int64)
+        at, open_blocks = self.entries(terms)
+        term, block = np.repeat(terms, self.size[terms]), self.entry_block[at]
         out = []
-        live = [t for t in query if self.postings[t]]
-        while live:
-            live.sort(key=lambda t: self.postings[t][at[t]][0])
-            bound, pivot = 0.0, -1
-            for i, t in enumerate(live):
-                bound += self.top[t]
-                if bound >= self.least:
-                    pivot = i
+        for b in open_blocks.tolist():
+            if half is None or self.block_half[b] == half:
+                here = np.flatnonzero(block == b)
+                cursors = [[self.postings[t], *self.entry_place[e], self.entry_top[e]] for t, e in zip(term[here].tolist(), at[here].tolist())]
+                out += self.wand(cursors)
+        return out
+
+    def wand(self, cursors: list[list]) -> list[tuple[int, float]]:
+        """Items of one block that reach their need; ``cursors``: (postings, next, end, largest share) of each term."""
+        out = []
+        while cursors:
+            cursors.sort(key=lambda c: c[0][c[1]][0])
+            bound = 0.0
+            for pivot, c in enumerate(cursors):
+                bound += c[3]
+                if bound >= REACHED:
                     break
-            if pivot < 0:
+            else:  # the terms left can bring no item to its need
                 break
-            item = self.postings[live[pivot]][at[live[pivot]]][0]
-            ahead = pivot
-            while ahead + 1 < len(live) and self.postings[live[ahead + 1]][at[live[ahead + 1]]][0] == item:
-                ahead += 1
-            # the blocks that would hold the pivot item; skip to the nearest block end if they cannot reach what is needed
-            bound, end = 0.0, math.inf
-            for t in live[:ahead + 1]:
-                block = self.blocks[t]
-                j = at[t] // BLOCK
-                while j < len(block) and block[j][0] < item:
-                    j += 1
-                if j < len(block):
-                    bound += block[j][1]
-                    end = min(end, block[j][0])
-            if bound < self.least:
-                goal = max(item, end) + 1
-                if ahead + 1 < len(live):
-                    goal = min(goal, self.postings[live[ahead + 1]][at[live[ahead + 1]]][0])
-                goal = max(goal, item + 1)
-            elif self.postings[live[0]][at[live[0]]][0] == item:
-                total = math.fsum(self.postings[t][at[t]][1] for t in live[:ahead + 1])
+            item = cursors[pivot][0][cursors[pivot][1]][0]
+            goal = item
+            if cursors[0][0][cursors[0][1]][0] == item:
+                impacts = [c[0][c[1]][1] for c in cursors if c[0][c[1]][0] == item]
+                self.scored += len(impacts)
+                total = math.fsum(impacts)
                 if total >= self.needed[item]:
                     out.append((item, total))
                 goal = item + 1
-            else:
-                goal = item
-            kept = []
-            for i, t in enumerate(live):
-                if i <= ahead:
-                    posting, j = self.postings[t], at[t]
-                    while j < len(posting) and posting[j][0] < goal:
-                        j += 1
-                    at[t] = j
-                    if j == len(posting):
-                        continue
-                kept.append(t)
-            live = kept
+            for c in cursors:
+                posting, j, end, _ = c
+                if posting[j][0] >= goal:
+                    break  # they are in order
+                while j < end and posting[j][0] < goal:
+                    j += 1
+                c[1] = j
+            cursors = [c for c in cursors if c[1] < c[2]]
         return out
 
-    def reachable(self, terms: np.ndarray) -> np.ndarray:
-        """Length classes of the items that could reach what they need from these distinct terms; bounds every query over a part of them."""
-        n = self.size[terms]
-        at = np.repeat(self.start[terms] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        return self.halves[np.bincount(self.flat_item[at], self.flat_impact[at], minlength=len(self.items)) >= self.floor]
-
     def windows(self, ids: np.ndarray) -> Iterator[tuple[int, int, int, list[int]]]:
         """(half, start, end, distinct terms) of the passages that can hold an item of their class, in order within a class.
 
@@ -215,9 +241,7 @@ class Index:
         best = {}
         for half, s, e, query in self.windows(ids):
             seen = None
-            for k, score in self.retrieve(query):
-                if self.halves[k] != half:
-                    continue
+            for k, score in self.retrieve(query, half):
                 if seen is None:
                     seen = {m: grams(ws[s:e], m) for m in (1, 2, 3)}
                 shares = []
@@ -230,6 +254,11 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, part_bytes: int = PART_BYTES) -> list[Index]:
+    """All parts of the index at once (a small benchmark)."""
+    return list(each_index(benchmark, part_bytes))
+
+
+def each_index(benchmark: DataFrame, part_bytes: int = PART_BYTES) -> Iterator[Index]:
     """The index in parts of about ``part_bytes`` of item text; each part is collected on its own, with the frequencies of its terms."""
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // part_bytes) or 1
@@ -248,11 +277,9 @@ def indexes(benchmark: DataFrame, part_bytes: int = PART_BYTES) -> list[Index]:
         pairs = materialize(pairs, "benchmark-pairs")
         pairs = materialize(pairs.select("part", "term").join(pairs.groupBy("term").agg(F.sum("df").alias("df")), "term"), "benchmark-frequencies")
     mean = (whole["words"] or 0) / max(1, whole["n"])
-    out = []
     for p in range(parts):
         df = {bytes(r["term"]): r["df"] for r in pairs.where(F.col("part") == p).select("term", "df").collect()}
-        out.append(Index([(r["item_id"], r["text"]) for r in items.where(F.col("part") == p).orderBy("item_id", "text").collect()], whole["n"], mean, df))
-    return out
+        yield Index([(r["item_id"], r["text"]) for r in items.where(F.col("part") == p).orderBy("item_id", "text").collect()], whole["n"], mean, df)
 
 
 def find(docs: DataFrame, index: Index) -> DataFrame:
@@ -268,12 +295,12 @@ def find(docs: DataFrame, index: Index) -> DataFrame:
 
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All verified (document, item) pairs over every part of the index."""
-    return reduce(DataFrame.unionByName, [find(docs, x) for x in indexes(benchmark)])
+    return reduce(DataFrame.unionByName, [find(docs, x) for x in each_index(benchmark)])
 
 
 def filter_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that contain no test item."""
-    for index in indexes(benchmark):
+    for index in each_index(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(index)
         docs = keep_rows(docs, lambda shared=shared: lambda texts: [not shared.value.matches(t) for t in texts])
     return docs
