@@ -67,6 +67,17 @@ def test_model_tells_unwanted_hosts(spark, model):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_words_never_seen_are_told_by_their_ngrams(spark):
+    part = lambda words, kept: [w for i, w in enumerate(words) if (i % 4 != 1) == kept]
+    seen, unseen = ([part(url_filter.UNWANTED_WORDS, k), part(url_filter.ORDINARY_WORDS, k)] for k in (True, False))
+    model = url_filter.train(spark, url_filter.labelled_urls(spark, *seen))
+    pages = url_filter.labelled_urls(spark, *unseen).select(F.col("y").alias("page_id"), "url")
+    blocked = {r.page_id: r.share for r in url_filter.judge(pages, model).groupBy("page_id").agg(F.avg((F.col("score") >= 0.5).cast("int")).alias("share")).collect()}
+    assert blocked[0] < 0.1 and blocked[1] > 0.4
+    ordinary = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url").where(~F.col("url").rlike("://[^/]*-"))  # hosts of invented words
+    assert url_filter.judge(ordinary, model).where("score >= 0.5").count() < 0.05 * ordinary.count()
+
+
 # -- WARC -------------------------------------------------------------------------------------
 
 def brute_records(rows):

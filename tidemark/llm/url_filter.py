@@ -13,6 +13,8 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,20 +22,49 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 
-BUCKETS = 1024
+BUCKETS = 4096
 N = 4
 THRESHOLD = 0.5
 #: (verdict, host, path beginning): a rule fits its host and all subdomains; the longest one wins.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: The small labelled table: host and path words of unwanted and of ordinary pages, each combined with ENDINGS.
-UNWANTED = "cheap-pills free-bets casino-win hot-singles poker-bonus payday-loans xxx-videos replica-watches viagra-online slots-jackpot free-porn lottery-prize adult-dating miracle-diet crypto-doubler".split()
-ORDINARY = "library university gardening news-archive weather museum recipes history open-data school hospital research city-council railway orchestra blog docs science travel-notes thtion erthan onbleth ndinger reanthe".split()
-ENDINGS = ("example.com/en/12", "example.org/de/345.html", "example.com/fr/6?page=2", "example.net/en/78/", "example.org/es/901#top")
-
-
-def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, y): y is 1 for unwanted pages."""
-    rows = [(f"{scheme}://{sub}{word}.{end}", y) for y, words in ((1, UNWANTED), (0, ORDINARY)) for word in words for end in ENDINGS for scheme, sub in (("http", ""), ("https", "www."), ("https", "m."), ("http", "blog."))]
+#: The small labelled table: words of unwanted hosts, by theme (gambling, pharmacy, adult, money, counterfeits, advertising, malware).
+UNWANTED_WORDS = ("casino poker bets betting jackpot roulette slots lottery sportsbet blackjack bingo gamble "
+                  "pills pharmacy viagra diet weightloss steroid meds rxstore "
+                  "porn xxx adult escort camgirls hookup nude sexchat "
+                  "payday loans forex bitcoin profit getrich earnmoney cashback binary "
+                  "replica fakewatch outlet discount knockoff cheap "
+                  "adserver banner popup tracker clicks doubleclick affiliate promo spam bulkmail "
+                  "crack keygen warez torrent freedownload hacks phish prize winner").split()
+#: Words of ordinary hosts.
+ORDINARY_WORDS = ("library university school college museum archive history science physics biology chemistry mathematics "
+                  "garden recipes kitchen travel weather railway city council parliament government court police hospital clinic "
+                  "news times herald journal magazine radio cinema theatre orchestra music gallery books poetry language dictionary "
+                  "software docs developer open data linux python forum wiki blog photo family church village river mountain forest "
+                  "football tennis cycling hiking sailing research institute society foundation energy climate ocean nature bird farm "
+                  "carpenter bakery hotel restaurant bicycle repair insurance bank post market design studio engineering").split()
+#: Paths of unwanted pages, of ordinary ones, and of both.
+UNWANTED_PATHS = ("/register/bonus", "/buy-now/order.php", "/click/redirect", "/go/out.php", "/offers/70-off", "/gallery/hot/12.html", "/win/claim-now", "/ad/banner.gif", "/track/pixel", "/free/download.exe")
+ORDINARY_PATHS = ("/about", "/articles/2019/05/opening-hours", "/docs/install.html", "/people/staff", "/wiki/Main_Page", "/events/concert", "/publications/report.pdf", "/contact", "/lessons/chapter-4", "/news/local")
+NEUTRAL_PATHS = ("/", "", "/en/12", "/de/3456.html", "/fr/78/", "/index.html", "/page/3", "/es/901")
+ENDINGS = ("com", "org", "net", "info", "de", "co.uk", "example.com", "example.org", "example.net")
+SUBDOMAINS = ("", "www.", "m.", "blog.")
+
+
+def labelled_urls(spark: SparkSession, unwanted: Sequence[str] = UNWANTED_WORDS, ordinary: Sequence[str] = ORDINARY_WORDS) -> DataFrame:
+    """(url, y): y is 1 for unwanted pages.
+
+    Every word gives hosts of its own and joined with another word of its
+    class, each once with a path of its class and once with a neutral one;
+    endings and subdomains take turns over both classes alike.
+    """
+    rows = []
+    for y, some, paths in ((1, unwanted, UNWANTED_PATHS), (0, ordinary, ORDINARY_PATHS)):
+        for i, word in enumerate(some):
+            others = [some[(i + step) % len(some)] for step in (7, 19)]
+            for j, name in enumerate((word, f"{word}-{others[0]}", f"{others[1]}{word}")):
+                for k, choice in enumerate((paths, NEUTRAL_PATHS)):
+                    turn = 3 * i + j + 5 * k
+                    rows.append((f"https://{SUBDOMAINS[turn % len(SUBDOMAINS)]}{name}.{ENDINGS[turn % len(ENDINGS)]}{choice[turn % len(choice)]}", y))
     return spark.createDataFrame(rows, "url string, y int")
 
 
