@@ -176,3 +176,18 @@ def payload(spark: SparkSession, base: str) -> DataFrame:
     ev = _events(spark, base, ["event_id", "ts", "props"])
     return ev.select(F.col("event_id").alias("request_id"),
                      F.col("props").alias("request"), F.col("ts").alias("arrival_time"))
+
+
+def payload_calls(spark: SparkSession, base: str) -> DataFrame:
+    """Request/response log with up to four records a request; a few calls are cut off, empty, failed or short."""
+    ev = _events(spark, base, ["event_id", "ts", "event_type", "props"])
+    record = F.struct("event_id", F.from_json("props", "k INT")["k"].alias("k"), "event_type")
+    calls = (ev.groupBy(F.expr("event_id div 4").alias("request_id"))
+             .agg(F.max("ts").alias("arrival_time"), F.sort_array(F.collect_list(record)).alias("r")))
+    request = F.to_json(F.struct(F.col("r").alias("dataframe_records")))
+    response = F.to_json(F.struct(F.transform("r", lambda r: r["event_id"] % 100 + F.lit(0.5)).alias("predictions")))
+    odd = F.col("request_id") % 17
+    return calls.select(
+        "request_id", "arrival_time",
+        F.when(odd == 3, F.left(request, F.length(request) - 3)).when(odd == 5, '{"inputs":[]}').otherwise(request).alias("request"),
+        F.when(odd == 7, F.lit(None)).when(odd == 9, '{"error":"timeout"}').when(odd == 11, '{"predictions":[1.5]}').otherwise(response).alias("response"))
