@@ -1,6 +1,7 @@
 """Operators over texts against brute force, round trips and edge cases."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -357,6 +358,28 @@ def test_quality_classifier_on_held_out_rows_and_exact_votes(tables, documents):
     assert x.shape == (3, 1) and votes.scores(np.zeros((1, votes.projection.shape[0]), np.float32))[0] == votes.base
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, quality_classifier.K, 400])
+def test_votes_equal_a_plain_loop_over_all_labelled_vectors(n):
+    rng = np.random.default_rng(n)
+    vectors = rng.normal(size=(n, 6)).astype(np.float32)
+    vectors[n // 2:] = vectors[:n - n // 2]  # every vector twice, so the nearest ones tie
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True) if n else 1
+    labels = rng.integers(0, 2, n).astype(float)
+    labels[n // 2:] = labels[:n - n // 2]  # ties agree, so which of them is among the nearest does not matter
+    votes = quality_classifier.Votes(np.eye(6, dtype=np.float32), vectors, labels, 0.25)
+    rows = rng.normal(size=(50, 6)).astype(np.float32)
+    rows[0] = 0
+    got = votes.scores(rows)
+    for row, score in zip(rows.astype(float), got):
+        norm = math.sqrt(sum(x * x for x in row))
+        if not n or not norm:
+            assert score == (0.25 if n else 0.5)
+            continue
+        near = sorted(((sum(a * b for a, b in zip(row, v)) / norm, y) for v, y in zip(vectors.astype(float), labels)), reverse=True)[:quality_classifier.K]
+        weights = [min(1.0, max(0.0, sim)) ** quality_classifier.POWER + 1e-9 for sim, _ in near]
+        assert score == pytest.approx(sum(w * y for w, (_, y) in zip(weights, near)) / sum(weights), abs=1e-4)
+
+
 # -- sharding ---------------------------------------------------------------------------------
 
 def test_shards_are_near_equal_and_positions_have_no_gaps(spark, tables, documents):
