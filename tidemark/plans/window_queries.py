@@ -37,15 +37,15 @@ FROM (SELECT DISTINCT model_version, column_name FROM long) v CROSS JOIN (SELECT
      JOIN long l ON l.model_version = v.model_version AND l.column_name = v.column_name GROUP BY 1, 2, 3""")])
 
 
-def _states(spark: SparkSession, base: str) -> DataFrame:
+def _states(predictions: DataFrame) -> DataFrame:
     """The state table of the predictions, stored."""
-    return materialize(wd.daily_states(fx.predictions(spark, base), EDGES, KEYS), "drift-states")
+    return materialize(wd.daily_states(predictions, EDGES, KEYS), "drift-states")
 
 
 @query("drift_windows", _BINNED_SQL)
 def q_drift_windows(spark: SparkSession, base: str) -> DataFrame:
     """PSI and KS per version and column between two ranges of scored days, from the daily states."""
-    return wd.binned_drift(wd.window_pairs(_states(spark, base), BASE, CURRENT, KEYS), KEYS)
+    return wd.binned_drift(wd.window_pairs(_states(fx.predictions(spark, base)), BASE, CURRENT, KEYS), KEYS)
 
 
 @query("drift_windows_ks", with_views(f"""
@@ -62,7 +62,7 @@ def q_drift_windows_ks(spark: SparkSession, base: str) -> DataFrame:
     rows = F.explode(F.array(*[F.struct(F.concat_ws("|", "model_version", F.lit(c)).alias("column_name"), F.col(c).alias("value")) for c in EDGES])).alias("_e")
     long = p.where(inside[0] | inside[1]).select(inside[1].alias("is_cur"), rows).select("is_cur", "_e.*")
     exact = dr.ks_numeric_long(long).select(F.col("column_name").alias("_name"), F.col("ks").alias("_exact"))
-    sketched = wd.sketched_drift(wd.window_pairs(_states(spark, base), BASE, CURRENT, KEYS), KEYS)
+    sketched = wd.sketched_drift(wd.window_pairs(_states(p), BASE, CURRENT, KEYS), KEYS)
     return (sketched.join(F.broadcast(exact), F.concat_ws("|", "model_version", "column_name") == F.col("_name"))  # a row per version and column
             .select("model_version", "column_name", "n_base", "n_cur", F.col("_exact").alias("ks"), (F.abs(F.col("ks") - F.col("_exact")) <= wd.ks_bound()).alias("sketch_in_bound")))
 
